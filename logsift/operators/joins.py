@@ -25,7 +25,7 @@ def key_set(df: DataFrame, key: str, max_broadcast_keys: int | None = MAX_BROADC
     """Distinct keys of ``df`` (pre-aggregated map side, so a hot key costs one
     row per task) and whether they passed the broadcast bound."""
     keys = df.select(key).filter(F.col(key).isNotNull()).distinct()
-    small = max_broadcast_keys is not None and at_most(keys, max_broadcast_keys)
+    small = max_broadcast_keys is not None and not df.isStreaming and at_most(keys, max_broadcast_keys)
     return keys, small
 
 

@@ -19,8 +19,12 @@ def valid_contents(contents: DataFrame, content_col: str = "content") -> DataFra
     return contents.filter(F.col(content_col).isNotNull())
 
 
+def _expandable(contents: DataFrame, content_col: str) -> DataFrame:
+    return valid_contents(contents, content_col)
+
+
 def normalize_content(contents: DataFrame, id_col: str = "log_id", content_col: str = "content") -> DataFrame:
-    return valid_contents(contents, content_col).select(
+    return _expandable(contents, content_col).select(
         id_col, text.normalize_line_endings(content_col).alias("content_normalized")
     )
 
@@ -28,7 +32,7 @@ def normalize_content(contents: DataFrame, id_col: str = "log_id", content_col:
 def split_lines(contents: DataFrame, id_col: str = "log_id", content_col: str = "content") -> DataFrame:
     """``id, line_number, line_content`` for every non-empty raw line."""
     return (
-        valid_contents(contents, content_col)
+        _expandable(contents, content_col)
         .select(id_col, F.posexplode(text.split_lines(content_col)).alias("pos", "line_content"))
         .filter(F.col("line_content") != "")
         .select(id_col, (F.col("pos") + 1).alias("line_number"), "line_content")
@@ -40,7 +44,7 @@ def clean_lines(contents: DataFrame, id_col: str = "log_id", content_col: str =
     cleaned form is not empty. A raw empty line cleans to empty, so one
     filter on the cleaned line covers both of the reference's filters."""
     return (
-        valid_contents(contents, content_col)
+        _expandable(contents, content_col)
         .select(id_col, F.posexplode(text.numbered_clean_lines(content_col)).alias("pos", "l"))
         .filter(F.col("l.cleaned_line") != "")
         .select(

@@ -92,11 +92,15 @@ def cascade_delete(
     )
 
 
-def mark_processed(
-    logs: DataFrame, results: DataFrame, max_broadcast_keys: int | None = MAX_BROADCAST_KEYS
-) -> DataFrame:
+def mark_processed(logs: DataFrame, results: DataFrame, max_broadcast_keys: int | None = None) -> DataFrame:
     """Every log with at least one result gets ``processed = TRUE``; others
-    keep their flag; result ids without a log change nothing."""
+    keep their flag; result ids without a log change nothing.
+
+    For a batch of results (a micro-batch) pass ``max_broadcast_keys``: the
+    distinct ids are counted and, under the bound, broadcast so the store is
+    only scanned. By default (results of a whole table) the join shuffles,
+    with the ids pre-aggregated map-side; counting first would run the
+    results' whole lineage twice."""
     ids, small = key_set(results, "log_id", max_broadcast_keys)
     hit = ids.withColumn("_hit", F.lit(True))
     return (

@@ -7,6 +7,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.partitioning import spread
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -17,8 +19,11 @@ LOGS_SCHEMA = "log_id string, source string, timestamp timestamp_ntz, content st
 RESULTS_SCHEMA = "log_id string, regex_id string, line_number int, match string, line_content string"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, spread_small: bool = True) -> DataFrame:
+    """One supplied table. A scan with fewer partitions than the cluster has
+    cores is spread round-robin first (see ``operators.partitioning``)."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df) if spread_small else df
 
 
 def read_store(spark: SparkSession, path: str, schema: str = LOGS_SCHEMA) -> DataFrame:
