@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.stores import BUCKET_COL, prune_to_buckets
 from .joins import MAX_BROADCAST_KEYS, key_set, semi_join_keys
 
 # Schema of an event message value (all strings; only log_id is used).
@@ -41,10 +42,18 @@ def decode_events(envelope: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def found_logs(
-    request_ids: DataFrame, store: DataFrame, max_broadcast_keys: int | None = MAX_BROADCAST_KEYS
+    request_ids: DataFrame,
+    store: DataFrame,
+    max_broadcast_keys: int | None = MAX_BROADCAST_KEYS,
+    bucket_count: int | None = None,
 ) -> DataFrame:
-    """Store rows (``log_id, content``) for the requested ids, one per id."""
+    """Store rows (``log_id, content``) for the requested ids, one per id.
+
+    With a bucketed store (``sources.stores``) pass its ``bucket_count``: the
+    scan is then pruned to the buckets the ids fall in."""
     ids, small = key_set(request_ids, "log_id", max_broadcast_keys)
+    if bucket_count and BUCKET_COL in store.columns:
+        store = prune_to_buckets(store, ids, bucket_count)
     return semi_join_keys(store.select("log_id", "content"), ids, "log_id", small)
 
 

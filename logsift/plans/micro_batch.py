@@ -31,6 +31,7 @@ def process_ids(
     logs_store: DataFrame,
     patterns=None,
     max_broadcast_keys: int | None = MAX_BROADCAST_KEYS,
+    bucket_count: int | None = None,
 ) -> BatchOutputs:
     """Match the logs named by ``ids`` (column ``log_id``; duplicates allowed).
 
@@ -38,7 +39,7 @@ def process_ids(
     deduplicated before the lookup, which gives the same rows because the
     store holds one row per id.
     """
-    found = lookup.found_logs(ids, logs_store, max_broadcast_keys)
+    found = lookup.found_logs(ids, logs_store, max_broadcast_keys, bucket_count)
     matches = matching.match_lines(found, patterns)
     # Missing ids: requested minus found. Both sides are bounded by the id
     # set, so no store-sized data is shuffled.

@@ -191,6 +191,10 @@ def q_matches_by_type(spark, sf):
     return stats.matches_by_type(_results(spark, sf))
 
 
+# Buckets of the stream's log store (small: the supplied tables are small).
+STREAM_BUCKETS = 16
+
+
 # --- streaming -----------------------------------------------------------------
 
 
@@ -200,10 +204,16 @@ def q_stream_match(spark, sf):
     column). Runs every available batch, then reads the sink back."""
     from ..streaming import job
 
+    from ..session import scratch_path
+    from ..sources import stores
+
+    # The log store as a bucketed table in the shared folder; each batch's
+    # lookup reads only the buckets its ids fall in.
+    logs = stores.write_bucketed(_logs(spark, sf), scratch_path(spark, "stores", "logs"), STREAM_BUCKETS)
     ev_schema = _events(spark, sf).schema
     stream = job.file_events(spark, f"{sf.rstrip('/')}/events*.parquet", ev_schema, max_files_per_trigger=1)
     envelope = fixtures.event_values(stream)
-    out, _, _ = job.run_to_completion(spark, envelope, lambda: _logs(spark, sf))
+    out, _, _ = job.run_to_completion(spark, envelope, lambda: logs.read(spark), bucket_count=STREAM_BUCKETS)
     if out is None:
         return spark.createDataFrame([], "regexId string, log_id string, line_number int, matched_text string")
     return out.select("regexId", "log_id", "line_number", "matched_text")

@@ -35,7 +35,13 @@ log = logging.getLogger(__name__)
 DEFAULT_TRIGGER = "30 seconds"
 
 
-def kafka_events(spark: SparkSession, brokers: str, topic: str, max_offsets_per_trigger: int | None = None) -> DataFrame:
+def kafka_events(
+    spark: SparkSession,
+    brokers: str,
+    topic: str,
+    max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
+) -> DataFrame:
     """The event topic as a stream (needs the spark-sql-kafka connector on
     the classpath). Starts at the latest offsets; lost offsets are skipped,
     not fatal."""
@@ -48,6 +54,9 @@ def kafka_events(spark: SparkSession, brokers: str, topic: str, max_offsets_per_
     )
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    if min_partitions:
+        # A hot topic partition is split over several tasks.
+        reader = reader.option("minPartitions", str(min_partitions))
     return reader.load()
 
 
@@ -85,7 +94,9 @@ class MatchBatchWriter:
         patterns=None,
         kafka: tuple[str, str] | None = None,
         max_broadcast_keys: int | None = MAX_BROADCAST_KEYS,
+        bucket_count: int | None = None,
     ):
+        self.bucket_count = bucket_count
         self.store_loader = store_loader
         self.results_path = results_path
         self.not_found_path = not_found_path
@@ -100,7 +111,7 @@ class MatchBatchWriter:
         # source. Lost blocks are recomputed from the batch's offsets.
         ids = batch.select("log_id").persist()
         try:
-            out = process_ids(ids, self.store_loader(), self.patterns, self.max_broadcast_keys)
+            out = process_ids(ids, self.store_loader(), self.patterns, self.max_broadcast_keys, self.bucket_count)
             matches, obs = observe_count(out.matches, "matches")
             # The match plan runs once, into the table sink; Kafka (if any)
             # re-reads the written partition rather than re-matching.
@@ -137,6 +148,7 @@ def run_to_completion(
     store_loader: Callable[[], DataFrame],
     patterns=None,
     base: str | None = None,
+    bucket_count: int | None = None,
 ) -> tuple[DataFrame, MatchBatchWriter, str]:
     """Process everything available now, then return the match rows written
     (without the ``batch_id`` column)."""
@@ -146,6 +158,7 @@ def run_to_completion(
         os.path.join(base, "results"),
         os.path.join(base, "not_found"),
         patterns,
+        bucket_count=bucket_count,
     )
     q = start_match_stream(envelope, writer, os.path.join(base, "checkpoint"), available_now=True)
     q.awaitTermination()

@@ -156,3 +156,25 @@ def test_sql_table_function(spark):
     rows = spark.sql("SELECT * FROM t_get_log_matches('a')").collect()
     assert [r.line_number for r in rows] == [1, 1, 1]
     assert spark.sql("SELECT count(*) FROM t_error_logs").first()[0] == 1
+
+
+def test_bucketed_store_lookup_prunes(spark, tmp_path):
+    from logsift.sources import stores
+
+    logs = spark.createDataFrame(
+        [(f"log_{i}", "s", T0, f"line {i}", False) for i in range(200)],
+        "log_id string, source string, timestamp timestamp_ntz, content string, processed boolean",
+    )
+    table = stores.write_bucketed(logs, str(tmp_path / "logs"), bucket_count=32)
+    ids = spark.createDataFrame([("log_3",), ("log_77",), ("nope",)], "log_id string")
+    found = lookup.found_logs(ids, table.read(spark), bucket_count=32)
+    import contextlib
+    import io
+    import re
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        found.explain("formatted")
+    filters = [ln for ln in buf.getvalue().splitlines() if ln.startswith("PartitionFilters")]
+    assert filters and re.search(r"bucket#\d+ IN \(", filters[0]), filters
+    assert sorted(r.log_id for r in found.collect()) == ["log_3", "log_77"]
