@@ -4,13 +4,12 @@ The reference collects each micro-batch's ids to the driver and asks the
 store with an ``IN (...)`` list. Here the ids stay a DataFrame and the
 lookup is a join, so nothing passes through the driver:
 
-1. distinct requested ids (map-side pre-aggregation: a hot id is one row per
-   task);
+1. requests counted per id (map-side pre-aggregation: copies of a hot id are
+   one row per task);
 2. ``found = store ⋉ ids``, a semi-join that broadcasts the id set when a
    count proved it small, so the store is scanned but not shuffled;
-3. ``requests ⟕ found``, one row per request (duplicates kept). ``found``
-   has at most one row per requested id; AQE broadcasts it when its runtime
-   size is small, else the shuffle join splits hot ids across tasks.
+3. ``counts ⟕ found``: unique keys on both sides, so no key is hot; then each
+   id's row is repeated once per request (``skew.expand_counts``).
 
 A found log with null content has no status; a missing id has null content
 and ``status = 'not_found'`` (told apart by a marker column, not by null
@@ -24,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ..sources.stores import BUCKET_COL, prune_to_buckets
 from .joins import MAX_BROADCAST_KEYS, key_set, semi_join_keys
+from .skew import expand_counts
 
 # Schema of an event message value (all strings; only log_id is used).
 EVENT_SCHEMA = "log_id string, timestamp string, source string"
@@ -58,15 +58,25 @@ def found_logs(
 
 
 def bulk_lookup(
-    requests: DataFrame, store: DataFrame, max_broadcast_keys: int | None = MAX_BROADCAST_KEYS
+    requests: DataFrame,
+    store: DataFrame,
+    max_broadcast_keys: int | None = MAX_BROADCAST_KEYS,
+    bucket_count: int | None = None,
 ) -> DataFrame:
-    """``log_id, content, status``: one row per requested id, in no order."""
-    found = found_logs(requests, store, max_broadcast_keys).withColumn("_found", F.lit(True))
-    return requests.select("log_id").join(found, "log_id", "left").select(
+    """``log_id, content, status``: one row per requested id, in no order.
+
+    Copies of an id are counted map-side first, the lookup joins unique keys
+    to unique keys, and the copies are restored at the end (a heavily
+    repeated id is expanded in chunks over many tasks)."""
+    req = requests.groupBy("log_id").agg(F.count(F.lit(1)).alias("_n"))
+    found = found_logs(req, store, max_broadcast_keys, bucket_count).withColumn("_found", F.lit(True))
+    joined = req.join(found, "log_id", "left").select(
         "log_id",
         "content",
         F.when(F.col("_found").isNull(), F.lit(NOT_FOUND)).alias("status"),
+        "_n",
     )
+    return expand_counts(joined, "_n")
 
 
 def not_found_ids(lookup: DataFrame) -> DataFrame:

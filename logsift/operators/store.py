@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..sources.patterns import MAX_REGEX_ID_LENGTH
 from .joins import MAX_BROADCAST_KEYS, key_set, semi_join_keys
+from .skew import HOT_KEY_ROWS, hot_keys, salted_join
 
 MAX_LOG_ID_LENGTH = 255
 DEFAULT_SOURCE = "unknown"
@@ -29,6 +30,9 @@ REASON_LONG_REGEX_ID = "regex_id longer than 50"
 REASON_LONG_LOG_ID = "log_id longer than 255"
 REASON_UNKNOWN_LOG = "log_id not in logs"
 
+# Columns that spread one log's result rows over salts.
+RESULT_SALT_COLS = ["regex_id", "line_number", "match"]
+
 
 def results_rows(matches: DataFrame) -> DataFrame:
     """Match rows in the result store's shape: ``regexId`` -> ``regex_id``,
@@ -44,11 +48,12 @@ def results_rows(matches: DataFrame) -> DataFrame:
     )
 
 
-def check_results(results: DataFrame, logs: DataFrame) -> DataFrame:
+def check_results(results: DataFrame, logs: DataFrame, hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
     """Result rows with ``reject_reason`` (null when the row satisfies every
     constraint of the result store: not-null columns, id lengths, and the
-    foreign key to ``logs``). One shuffle join on ``log_id``; a hot log id is
-    split by AQE's skew handling."""
+    foreign key to ``logs``). One shuffle join on ``log_id`` against the
+    distinct log ids; a log id holding very many result rows (copies of its
+    results) is salted across tasks."""
     reason = (
         F.when(F.col("log_id").isNull(), F.lit(REASON_NULL_LOG_ID))
         .when(F.col("regex_id").isNull(), F.lit(REASON_NULL_REGEX_ID))
@@ -58,9 +63,10 @@ def check_results(results: DataFrame, logs: DataFrame) -> DataFrame:
         .when(F.length("log_id") > MAX_LOG_ID_LENGTH, F.lit(REASON_LONG_LOG_ID))
     )
     known = logs.select("log_id").distinct().withColumn("_known", F.lit(True))
+    checked = results.withColumn("reject_reason", reason)
+    hot = hot_keys(checked, "log_id", hot_key_rows)
     return (
-        results.withColumn("reject_reason", reason)
-        .join(known, "log_id", "left")
+        salted_join(checked, known, "log_id", "left", RESULT_SALT_COLS, hot)
         .withColumn(
             "reject_reason",
             F.coalesce(
@@ -81,15 +87,20 @@ def results_rejected(results: DataFrame, logs: DataFrame) -> DataFrame:
 
 
 def cascade_delete(
-    logs: DataFrame, results: DataFrame, deleted_ids: DataFrame, max_broadcast_keys: int | None = MAX_BROADCAST_KEYS
+    logs: DataFrame,
+    results: DataFrame,
+    deleted_ids: DataFrame,
+    max_broadcast_keys: int | None = MAX_BROADCAST_KEYS,
+    hot_key_rows: int | None = HOT_KEY_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """Delete logs by id; their results go with them. Returns the surviving
     (logs, results)."""
     ids, small = key_set(deleted_ids, "log_id", max_broadcast_keys)
-    return (
-        semi_join_keys(logs, ids, "log_id", small, how="left_anti"),
-        semi_join_keys(results, ids, "log_id", small, how="left_anti"),
-    )
+    if small:
+        kept = semi_join_keys(results, ids, "log_id", small, how="left_anti")
+    else:
+        kept = salted_join(results, ids, "log_id", "left_anti", RESULT_SALT_COLS, hot_keys(results, "log_id", hot_key_rows))
+    return semi_join_keys(logs, ids, "log_id", small, how="left_anti"), kept
 
 
 def mark_processed(logs: DataFrame, results: DataFrame, max_broadcast_keys: int | None = None) -> DataFrame:

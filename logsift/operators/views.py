@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from ..sources.patterns import ERROR_REGEX_ID
 from .joins import MAX_BROADCAST_KEYS, key_set, semi_join_keys
+from .skew import HOT_KEY_ROWS, hot_keys, salted_join
+from .store import RESULT_SALT_COLS
 
 PENDING_LIMIT = 100
 
@@ -34,26 +36,36 @@ def results_for_log(results: DataFrame, log_id: str) -> DataFrame:
 
 
 def results_for_logs(
-    results: DataFrame, ids: DataFrame, max_broadcast_keys: int | None = MAX_BROADCAST_KEYS
+    results: DataFrame,
+    ids: DataFrame,
+    max_broadcast_keys: int | None = MAX_BROADCAST_KEYS,
+    hot_key_rows: int | None = HOT_KEY_ROWS,
 ) -> DataFrame:
     """``results_for_log`` for a set of ids at once: the results of every
     requested log, ordered by log, line, id."""
     keys, small = key_set(ids, "log_id", max_broadcast_keys)
+    if small:
+        hit = semi_join_keys(results, keys, "log_id", small)
+    else:
+        hit = salted_join(results, keys, "log_id", "left_semi", RESULT_SALT_COLS, hot_keys(results, "log_id", hot_key_rows))
     return (
-        semi_join_keys(results, keys, "log_id", small)
-        .select("log_id", "regex_id", "line_number", "match", "line_content")
+        hit.select("log_id", "regex_id", "line_number", "match", "line_content")
         .orderBy("log_id", "line_number", "regex_id")
     )
 
 
-def error_logs(logs: DataFrame, results: DataFrame, regex_id: str = ERROR_REGEX_ID) -> DataFrame:
+def error_logs(
+    logs: DataFrame, results: DataFrame, regex_id: str = ERROR_REGEX_ID, hot_key_rows: int | None = HOT_KEY_ROWS
+) -> DataFrame:
     """Results of one pattern id joined to their log's source and timestamp,
     newest log first. The filter reaches the results scan; only the three
-    small log columns take part in the join, never the content."""
+    small log columns take part in the join, never the content. A log with
+    very many error rows is salted across tasks."""
     r = results.filter(F.col("regex_id") == F.lit(regex_id)).select("log_id", "line_number", "match", "line_content")
     lg = logs.select("log_id", "source", "timestamp")
+    hot = hot_keys(r, "log_id", hot_key_rows)
     return (
-        lg.join(r, "log_id", "inner")
+        salted_join(r, lg, "log_id", "inner", ["line_number", "match"], hot)
         .select("log_id", "source", "timestamp", "line_number", "match", "line_content")
         .orderBy(F.desc("timestamp"), F.asc("line_number"), F.asc("log_id"), F.asc("match"))
     )
