@@ -65,6 +65,18 @@ def write_bucketed(
     return StoreTable(path, bucket_count, schema)
 
 
+def append_bucketed(df: DataFrame, table: StoreTable) -> None:
+    """Add rows to a bucketed table as new files (nothing is rewritten)."""
+    (
+        df.withColumn(BUCKET_COL, bucket_of("log_id", table.bucket_count))
+        .repartition(F.col(BUCKET_COL))
+        .sortWithinPartitions("log_id")
+        .write.mode("append")
+        .partitionBy(BUCKET_COL)
+        .parquet(table.path)
+    )
+
+
 def write_version(df: DataFrame, base: str, bucket_count: int = DEFAULT_BUCKETS, schema: str = LOGS_SCHEMA) -> StoreTable:
     """A new version of a store under ``base`` (a fresh directory)."""
     return write_bucketed(df.select(*[c.split()[0] for c in schema.split(",")]), os.path.join(base, f"v-{uuid.uuid4().hex}"), bucket_count, schema=schema)

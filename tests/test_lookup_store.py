@@ -178,3 +178,27 @@ def test_bucketed_store_lookup_prunes(spark, tmp_path):
     filters = [ln for ln in buf.getvalue().splitlines() if ln.startswith("PartitionFilters")]
     assert filters and re.search(r"bucket#\d+ IN \(", filters[0]), filters
     assert sorted(r.log_id for r in found.collect()) == ["log_3", "log_77"]
+
+
+def test_maintenance_versions(spark, tmp_path):
+    from logsift.plans import maintenance as M
+
+    logs = _logs(spark)
+    empty = spark.createDataFrame([], "log_id string, regex_id string, line_number int, match string, line_content string")
+    st = M.LogStores.create(str(tmp_path / "stores"), logs, empty, bucket_count=8)
+    writes = spark.createDataFrame(
+        [("a", "w", T0, "new a", 1), ("n", "w", T0, "new n", 2)],
+        "log_id string, source string, timestamp timestamp_ntz, content string, seq long",
+    )
+    st = M.post_logs(spark, st, writes)
+    got = {r.log_id: r.content for r in st.read_logs(spark).collect()}
+    assert got == {"a": "new a", "b": "y", "c": "z", "n": "new n"}
+    st, rejected = M.post_results(spark, st, _results(spark))
+    assert sorted(r.reject_reason for r in rejected.collect()) == sorted(
+        [store.REASON_UNKNOWN_LOG, store.REASON_NULL_REGEX_ID, store.REASON_LONG_REGEX_ID]
+    )
+    assert st.read_results(spark).count() == 2
+    assert {r.log_id: r.processed for r in st.read_logs(spark).collect()}["a"] is True
+    st = M.delete_logs(spark, st, spark.createDataFrame([("a",)], "log_id string"))
+    assert st.read_results(spark).count() == 0
+    assert sorted(r.log_id for r in st.read_logs(spark).collect()) == ["b", "c", "n"]
