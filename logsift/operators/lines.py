@@ -39,16 +39,20 @@ def split_lines(contents: DataFrame, id_col: str = "log_id", content_col: str =
     )
 
 
-def clean_lines(contents: DataFrame, id_col: str = "log_id", content_col: str = "content") -> DataFrame:
+def clean_lines(
+    contents: DataFrame, id_col: str = "log_id", content_col: str = "content", carry: tuple[str, ...] = ()
+) -> DataFrame:
     """``id, line_number, line_content, cleaned_line`` for every line whose
     cleaned form is not empty. A raw empty line cleans to empty, so one
-    filter on the cleaned line covers both of the reference's filters."""
+    filter on the cleaned line covers both of the reference's filters.
+    ``carry`` columns are passed through (e.g. a store's bucket)."""
     return (
         _expandable(contents, content_col)
-        .select(id_col, F.posexplode(text.numbered_clean_lines(content_col)).alias("pos", "l"))
+        .select(id_col, *carry, F.posexplode(text.numbered_clean_lines(content_col)).alias("pos", "l"))
         .filter(F.col("l.cleaned_line") != "")
         .select(
             id_col,
+            *carry,
             (F.col("pos") + 1).alias("line_number"),
             F.col("l.line_content").alias("line_content"),
             F.col("l.cleaned_line").alias("cleaned_line"),

@@ -45,14 +45,15 @@ def match_cleaned_lines(
     id_col: str = "log_id",
     line_col: str = "cleaned_line",
     distinct_rows: bool = False,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``regexId, <id>, line_number, matched_text``: one row per matching
-    (pattern id, line)."""
+    """``regexId, <id>, line_number, matched_text`` (then any ``carry``
+    columns): one row per matching (pattern id, line)."""
     pats = _patterns(lines, patterns)
     out = (
-        lines.select(id_col, "line_number", line_col, F.explode(M.matched_ids(line_col, pats)).alias("regexId"))
+        lines.select(id_col, "line_number", line_col, *carry, F.explode(M.matched_ids(line_col, pats)).alias("regexId"))
         .filter(F.col("regexId").isNotNull())
-        .select("regexId", id_col, "line_number", F.col(line_col).alias("matched_text"))
+        .select("regexId", id_col, "line_number", F.col(line_col).alias("matched_text"), *carry)
     )
     return out.distinct() if distinct_rows else out
 
@@ -63,10 +64,15 @@ def match_lines(
     id_col: str = "log_id",
     content_col: str = "content",
     distinct_rows: bool = False,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Contents to match rows: split, clean, match."""
     return match_cleaned_lines(
-        clean_lines(contents, id_col, content_col), patterns, id_col=id_col, distinct_rows=distinct_rows
+        clean_lines(contents, id_col, content_col, carry),
+        patterns,
+        id_col=id_col,
+        distinct_rows=distinct_rows,
+        carry=carry,
     )
 
 

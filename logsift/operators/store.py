@@ -39,12 +39,14 @@ def results_rows(matches: DataFrame) -> DataFrame:
     ``matched_text`` -> ``match``, ``line_content`` is the cleaned line
     (``''`` when absent)."""
     line = F.col("line_content") if "line_content" in matches.columns else F.col("matched_text")
+    extra = [c for c in matches.columns if c not in ("log_id", "regexId", "line_number", "matched_text", "line_content")]
     return matches.select(
         "log_id",
         F.col("regexId").alias("regex_id"),
         "line_number",
         F.col("matched_text").alias("match"),
         F.coalesce(line, F.lit("")).alias("line_content"),
+        *extra,
     )
 
 

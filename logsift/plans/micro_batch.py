@@ -9,12 +9,12 @@ output is a lazy DataFrame; sinks decide what to materialise.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..operators import lookup, matching, store
+from ..operators import lines, lookup, matching, store
 from ..operators.joins import MAX_BROADCAST_KEYS
 
 
@@ -24,6 +24,11 @@ class BatchOutputs:
     matches: DataFrame  # regexId, log_id, line_number, matched_text
     results: DataFrame  # result-store shape
     not_found: DataFrame  # requested ids missing from the store
+    observations: dict = field(default_factory=dict)  # name -> Observation
+
+    def metrics(self) -> dict:
+        """Counts observed while ``matches`` ran (call after the action)."""
+        return {k: o.get.get("rows", 0) for k, o in self.observations.items()}
 
 
 def process_ids(
@@ -32,6 +37,7 @@ def process_ids(
     patterns=None,
     max_broadcast_keys: int | None = MAX_BROADCAST_KEYS,
     bucket_count: int | None = None,
+    observe: bool = False,
 ) -> BatchOutputs:
     """Match the logs named by ``ids`` (column ``log_id``; duplicates allowed).
 
@@ -40,7 +46,18 @@ def process_ids(
     store holds one row per id.
     """
     found = lookup.found_logs(ids, logs_store, max_broadcast_keys, bucket_count)
-    matches = matching.match_lines(found, patterns)
+    obs = {}
+    if observe:
+        # Counted as a side effect of the one action that writes the matches
+        # (the reference runs a separate count job for each).
+        obs = {k: Observation(f"{k}") for k in ("found", "cleaned_lines", "matches")}
+        found = found.observe(obs["found"], F.count(F.lit(1)).alias("rows"))
+        cleaned = lines.clean_lines(found).observe(obs["cleaned_lines"], F.count(F.lit(1)).alias("rows"))
+        matches = matching.match_cleaned_lines(cleaned, patterns).observe(
+            obs["matches"], F.count(F.lit(1)).alias("rows")
+        )
+    else:
+        matches = matching.match_lines(found, patterns)
     # Missing ids: requested minus found. Both sides are bounded by the id
     # set, so no store-sized data is shuffled.
     missing = (
@@ -49,9 +66,24 @@ def process_ids(
         .distinct()
         .join(found.select("log_id"), "log_id", "left_anti")
     )
-    return BatchOutputs(found=found, matches=matches, results=store.results_rows(matches), not_found=missing)
+    return BatchOutputs(
+        found=found, matches=matches, results=store.results_rows(matches), not_found=missing, observations=obs
+    )
 
 
 def batch_match(logs_store: DataFrame, patterns=None) -> DataFrame:
     """Batch mode: every log in the store, as result-store rows."""
     return store.results_rows(matching.match_lines(logs_store, patterns))
+
+
+def batch_match_table(spark, logs: "StoreTable", out_path: str, patterns=None) -> "StoreTable":
+    """Batch mode over a bucketed log store, written as a bucketed result
+    store. Each scan task reads files of one bucket, so its result rows carry
+    that bucket and are written under it directly: scan, match and write
+    form one stage with no shuffle."""
+    from ..sources.stores import BUCKET_COL, StoreTable
+    from ..sources.tables import RESULTS_SCHEMA
+
+    rows = store.results_rows(matching.match_lines(logs.read(spark), patterns, carry=(BUCKET_COL,)))
+    rows.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(out_path)
+    return StoreTable(out_path, logs.bucket_count, RESULTS_SCHEMA)

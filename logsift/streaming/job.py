@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import MAX_BROADCAST_KEYS
 from ..operators.lookup import decode_events
-from ..operators.payload import kafka_payload, observe_count
+from ..operators.payload import kafka_payload
 from ..plans.micro_batch import process_ids
 from ..session import scratch_path
 
@@ -111,18 +111,20 @@ class MatchBatchWriter:
         # source. Lost blocks are recomputed from the batch's offsets.
         ids = batch.select("log_id").persist()
         try:
-            out = process_ids(ids, self.store_loader(), self.patterns, self.max_broadcast_keys, self.bucket_count)
-            matches, obs = observe_count(out.matches, "matches")
+            out = process_ids(
+                ids, self.store_loader(), self.patterns, self.max_broadcast_keys, self.bucket_count, observe=True
+            )
             # The match plan runs once, into the table sink; Kafka (if any)
             # re-reads the written partition rather than re-matching.
-            write_partition(matches, self.results_path, batch_id)
+            write_partition(out.matches, self.results_path, batch_id)
             write_partition(out.not_found, self.not_found_path, batch_id)
-            n = obs.get.get("rows", 0)
+            metrics = out.metrics()
+            n = metrics.get("matches", 0)
             if self.kafka and n > 0:
                 written = batch.sparkSession.read.parquet(self.results_path).filter(F.col("batch_id") == batch_id)
-                write_kafka(written, *self.kafka)
-            self.history.append({"batch_id": batch_id, "matches": n})
-            log.info("batch %s: %s match rows", batch_id, n)
+                write_kafka(written.drop("batch_id"), *self.kafka)
+            self.history.append({"batch_id": batch_id, **metrics})
+            log.info("batch %s: %s", batch_id, metrics)
         finally:
             ids.unpersist()
 

@@ -76,3 +76,42 @@ def test_replayed_batch_overwrites_its_partition(spark):
     assert spark.read.parquet(out).count() == n1
     writer(batch, 8)
     assert spark.read.parquet(out).count() == 2 * n1
+
+
+def test_batch_match_over_bucketed_store_has_no_shuffle(spark, tmp_path):
+    import contextlib
+    import io
+
+    from logsift.plans import micro_batch
+    from logsift.sources import stores
+
+    ev = tables.table(spark, SF_SMALL, "events")
+    logs = fixtures.render_logs(ev)
+    table = stores.write_bucketed(logs, str(tmp_path / "logs"), bucket_count=8)
+    rows = micro_batch.store.results_rows(
+        matching.match_lines(table.read(spark), carry=(stores.BUCKET_COL,))
+    )
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        rows.explain("formatted")
+    assert "Exchange" not in buf.getvalue()
+    out = micro_batch.batch_match_table(spark, table, str(tmp_path / "results"))
+    got = out.read(spark)
+    want = micro_batch.batch_match(logs)
+    cols = ["log_id", "regex_id", "line_number", "match", "line_content"]
+    assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+    # every result row sits in its log's bucket
+    assert got.filter(stores.bucket_of("log_id", 8) != F.col("bucket")).count() == 0
+
+
+def test_stream_batches_record_metrics(spark):
+    base = tempfile.mkdtemp(prefix="logsift-metrics-")
+    ev = tables.table(spark, SF_SMALL, "events")
+    logs = fixtures.render_logs(ev)
+    writer = job.MatchBatchWriter(lambda: logs, os.path.join(base, "r"), os.path.join(base, "nf"))
+    batch = ev.select(fixtures.log_id_of(F.col("event_id")).alias("log_id"))
+    writer(batch, 0)
+    h = writer.history[0]
+    assert h["found"] == ev.count()
+    assert h["matches"] == spark.read.parquet(os.path.join(base, "r")).count()
+    assert h["cleaned_lines"] >= h["found"] - ev.filter(F.col("event_id") % 17 == 0).count()
