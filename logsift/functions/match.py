@@ -3,7 +3,8 @@
 Every catalogue entry becomes one predicate in the plan. Plain-text patterns
 (19 of the 23 defaults) compile to ``contains``, a byte search with no regex
 engine; the rest to ``rlike`` (Java regex, searched anywhere in the line, as
-``find``). Entries sharing an id are OR-ed into one predicate.
+``find``) behind a ``contains`` of the literal text the regex requires.
+Entries sharing an id are OR-ed into one predicate.
 """
 
 from __future__ import annotations
@@ -21,10 +22,18 @@ def _col(c) -> Column:
 
 
 def pattern_predicate(line, pattern: Pattern, use_literals: bool = True) -> Column:
+    """A plain-text pattern is a ``contains``; a regex is an ``rlike``
+    guarded by a ``contains`` of the text every match must hold, so the
+    regex engine only runs on lines that can match."""
     line = _col(line)
-    lit = pattern.literal() if use_literals else None
+    if not use_literals:
+        return line.rlike(pattern.pattern)
+    lit = pattern.literal()
     if lit is not None:
         return line.contains(F.lit(lit))
+    req = pattern.required_literal()
+    if req is not None:
+        return line.contains(F.lit(req)) & line.rlike(pattern.pattern)
     return line.rlike(pattern.pattern)
 
 

@@ -81,6 +81,87 @@ class Pattern:
         return "".join(out) if out else None
 
 
+    def required_literal(self) -> str | None:
+        """The longest text every match must contain, or None. Used as a
+        cheap ``contains`` test before the regex runs: ``user_id=(\\w+)``
+        needs ``user_id=``. Conservative: alternation, inline flags and
+        escapes that stand for more than one character give None."""
+        p = self.pattern
+        if "(?" in p or "\\Q" in p:
+            return None
+        runs, cur = [], []
+        i, depth = 0, 0
+
+        def cut():
+            if cur:
+                runs.append("".join(cur))
+                cur.clear()
+
+        while i < len(p):
+            ch = p[i]
+            if ch == "\\":
+                nxt = p[i + 1] if i + 1 < len(p) else ""
+                if nxt.isascii() and nxt and not nxt.isalnum():
+                    if depth == 0:
+                        cur.append(nxt)
+                    i += 2
+                    continue
+                if nxt in "xuc0pPkNQE" or not nxt:
+                    return None
+                cut()  # a class (\\d, \\s, ...) or an anchor (\\b)
+                i += 2
+                continue
+            if ch == "[":
+                cut()
+                j = i + 1
+                if j < len(p) and p[j] == "^":
+                    j += 1
+                if j < len(p) and p[j] == "]":
+                    j += 1
+                while j < len(p) and p[j] != "]":
+                    j += 2 if p[j] == "\\" else 1
+                i = j + 1
+                continue
+            if ch == "(":
+                cut()
+                depth += 1
+                i += 1
+                continue
+            if ch == ")":
+                depth -= 1
+                i += 1
+                continue
+            if ch == "|":
+                if depth == 0:
+                    return None
+                i += 1
+                continue
+            if ch in "*?{":
+                if depth == 0 and cur:
+                    cur.pop()  # the quantified character may be absent
+                cut()
+                if ch == "{":
+                    while i < len(p) and p[i] != "}":
+                        i += 1
+                i += 1
+                continue
+            if ch == "+":
+                cut()
+                i += 1
+                continue
+            if ch in ".^$":
+                cut()
+                i += 1
+                continue
+            if depth == 0:
+                cur.append(ch)
+            else:
+                cut()
+            i += 1
+        cut()
+        return max(runs, key=len) if runs else None
+
+
 class CatalogueError(ValueError):
     pass
 

@@ -58,3 +58,35 @@ def test_additional_info_needs_leading_whitespace(spark):
     rows = matching.match_lines(df).filter(F.col("regexId") == "ADDITIONAL_INFO_LINE").collect()
     # the tab-led line keeps a leading space after cleaning; the space-led one is trimmed
     assert [r.line_number for r in rows] == [2]
+
+
+def test_required_literals():
+    req = {p.regex_id: p.required_literal() for p in P.catalogue()}
+    assert req["USER_ID_EXTRACT"] == "user_id="
+    assert req["ADDITIONAL_INFO_LINE"] == "Additional info: request_id="
+    assert req["IP_ADDRESS_EXTRACT"] == "from IP "
+    for pat in ["ab|cd", "(?i)abc", r"\x41bc", r"\Qa.b\E"]:
+        assert P.Pattern("X", pat).required_literal() is None
+    assert P.Pattern("X", "ab*c").required_literal() in ("a", "c")
+    assert P.Pattern("X", r"[A-Za-z]+@[a-z]+\.com").required_literal() in ("@", ".com")
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+from logsift.sources import fixtures  # noqa: E402
+
+EXTRA = [r"ab*c", r"a(b|c)d", r"x{2}yz", r"ab?c+d", r"(ab)?c", r"a\.?b", r"[xy]+z=\d", r"q(r)+s"]
+ALL = [p for _, p in P.DEFAULT_PATTERNS + fixtures.DOCUMENT_PATTERNS] + EXTRA
+CHARS = list("abcdqrsxyz=.@+( )-019") + ["user_id=", "from IP ", "token = \"", "Additional info: request_id="]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(CHARS), max_size=30).map("".join))
+def test_match_implies_required_literal(s):
+    import re
+
+    for pat in ALL:
+        req = P.Pattern("X", pat).required_literal()
+        if req is not None and re.search(pat, s):
+            assert req in s, (pat, req, s)
