@@ -87,3 +87,19 @@ def register_sql(spark: SparkSession, logs: DataFrame, results: DataFrame, prefi
                ORDER BY r.line_number
         """
     )
+
+
+def log_content_sql(spark: SparkSession, log_id: str, prefix: str = "") -> DataFrame:
+    """``GET /logs/<id>`` as parameterised SQL over the registered views (the
+    id is bound, never pasted into the text). No row when the id is unknown."""
+    return spark.sql(f"SELECT log_id, content FROM {prefix}logs WHERE log_id = :id", args={"id": log_id})
+
+
+def results_for_log_sql(spark: SparkSession, log_id: str, prefix: str = "") -> DataFrame:
+    """``GET /results/<id>`` as parameterised SQL over the registered views."""
+    return spark.sql(
+        f"SELECT regex_id, line_number, match, line_content FROM {prefix}regex_results "
+        "WHERE log_id = :id ORDER BY line_number, regex_id",
+        args={"id": log_id},
+    )
+

@@ -156,6 +156,11 @@ def test_sql_table_function(spark):
     rows = spark.sql("SELECT * FROM t_get_log_matches('a')").collect()
     assert [r.line_number for r in rows] == [1, 1, 1]
     assert spark.sql("SELECT count(*) FROM t_error_logs").first()[0] == 1
+    assert [tuple(r) for r in views.log_content_sql(spark, "b", prefix="t_").collect()] == [("b", "y")]
+    assert views.log_content_sql(spark, "x' OR '1'='1", prefix="t_").count() == 0
+    assert [r.regex_id for r in views.results_for_log_sql(spark, "a", prefix="t_").collect()] == [
+        "LOG_TYPE_ERROR", "USER_ID_EXTRACT", "X" * 51
+    ]
 
 
 def test_bucketed_store_lookup_prunes(spark, tmp_path):
