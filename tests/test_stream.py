@@ -115,3 +115,32 @@ def test_stream_batches_record_metrics(spark):
     assert h["found"] == ev.count()
     assert h["matches"] == spark.read.parquet(os.path.join(base, "r")).count()
     assert h["cleaned_lines"] >= h["found"] - ev.filter(F.col("event_id") % 17 == 0).count()
+
+
+def test_command_line_stream_and_batch(spark, tmp_path):
+    from logsift.sources import stores
+    from logsift.streaming import main as cli
+
+    ev = tables.table(spark, SF_SMALL, "events")
+    logs = fixtures.render_logs(ev)
+    store = stores.write_bucketed(logs, str(tmp_path / "store"), bucket_count=8)
+    # event messages as text lines, like Kafka values
+    fixtures.event_values(ev).select(F.col("value").cast("string").alias("value")).write.text(str(tmp_path / "events"))
+    writer = cli.main(
+        [
+            "stream", "--events-dir", str(tmp_path / "events"), "--store", store.path, "--buckets", "8",
+            "--out", str(tmp_path / "out"), "--available-now", "--checkpoint", str(tmp_path / "ckpt"),
+        ],
+        spark,
+    )
+    got = spark.read.parquet(str(tmp_path / "out" / "results")).drop("batch_id")
+    from logsift.operators.lookup import decode_events
+
+    ids = decode_events(fixtures.event_values(ev))
+    want = matching.match_lines(logs.join(ids, "log_id", "left_semi"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert sum(h["matches"] for h in writer.history) == got.count()
+    nf = spark.read.schema("log_id string, batch_id long").parquet(str(tmp_path / "out" / "not_found"))
+    assert nf.count() == 0
+    res = cli.main(["batch", "--store", store.path, "--buckets", "8", "--out", str(tmp_path / "batch")], spark)
+    assert res.read(spark).count() == matching.match_lines(logs).count()
