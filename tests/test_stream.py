@@ -144,3 +144,31 @@ def test_command_line_stream_and_batch(spark, tmp_path):
     assert nf.count() == 0
     res = cli.main(["batch", "--store", store.path, "--buckets", "8", "--out", str(tmp_path / "batch")], spark)
     assert res.read(spark).count() == matching.match_lines(logs).count()
+
+
+def test_failed_lookup_fails_batch_and_restart_recovers(spark, tmp_path):
+    ev = tables.table(spark, SF_SMALL, "events")
+    logs = fixtures.render_logs(ev)
+    path = str(tmp_path / "events")
+    fixtures.event_values(ev).select(F.col("value").cast("string").alias("value")).write.text(path)
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+
+    def broken():
+        raise RuntimeError("store unavailable")
+
+    w1 = job.MatchBatchWriter(broken, out + "/r", out + "/nf")
+    q = job.start_match_stream(job.file_events(spark, path, "value string", fmt="text"), w1, ckpt, available_now=True)
+    try:
+        q.awaitTermination()
+    except Exception:
+        pass
+    assert q.exception() is not None and not w1.history  # nothing silently dropped
+
+    w2 = job.MatchBatchWriter(lambda: logs, out + "/r", out + "/nf")
+    q = job.start_match_stream(job.file_events(spark, path, "value string", fmt="text"), w2, ckpt, available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None and len(w2.history) == 1
+    from logsift.operators.lookup import decode_events
+
+    want = matching.match_lines(logs.join(decode_events(fixtures.event_values(ev)), "log_id", "left_semi")).count()
+    assert spark.read.parquet(out + "/r").count() == want
