@@ -72,17 +72,29 @@ def salted_join(
     return large_s.join(small_s, [key, SALT_COL], how).drop(SALT_COL)
 
 
-def expand_counts(df: DataFrame, count_col: str, chunk: int = EXPAND_CHUNK) -> DataFrame:
-    """Each row repeated ``count_col`` times (the column is dropped). Rows
-    with more than ``chunk`` copies are first cut into chunks and the chunks
-    spread round-robin, so no task expands a heavy key alone."""
+def expand_counts(df: DataFrame, count_col: str, key: str | None = None, heavy: dict | None = None, chunk: int = EXPAND_CHUNK) -> DataFrame:
+    """Each row repeated ``count_col`` times (the column is dropped).
+
+    Rows of the ``heavy`` keys (from ``hot_keys`` with ``hot_key_rows=chunk``,
+    a bounded list) are cut into chunks of ``chunk`` copies and the chunks
+    spread round-robin before expanding, so no task expands a heavy key
+    alone. Without heavy keys the rows expand where they are (no union, no
+    shuffle). With ``key=None`` every row with more than ``chunk`` copies is
+    treated as heavy."""
     n = F.col(count_col)
-    light = df.filter(n <= chunk).withColumn("_i", F.explode(F.sequence(F.lit(1), n.cast("int")))).drop("_i", count_col)
-    heavy = (
-        df.filter(n > chunk)
+
+    def in_place(d):
+        return d.withColumn("_i", F.explode(F.sequence(F.lit(1), n.cast("int")))).drop("_i", count_col)
+
+    if key is not None and not heavy:
+        return in_place(df)
+    is_heavy = F.coalesce(F.col(key).isin(list(heavy)) if key is not None else (n > chunk), F.lit(False))
+    light = in_place(df.filter(~is_heavy))
+    spread_chunks = (
+        df.filter(is_heavy)
         .withColumn("_c", F.explode(F.sequence(F.lit(0), ((n - 1) / chunk).cast("long"))))
         .repartition(df.sparkSession.sparkContext.defaultParallelism)
         .withColumn("_i", F.explode(F.sequence(F.lit(1), F.least(F.lit(chunk).cast("long"), n - F.col("_c") * chunk).cast("int"))))
         .drop("_c", "_i", count_col)
     )
-    return light.unionByName(heavy)
+    return light.unionByName(spread_chunks)

@@ -32,14 +32,21 @@ def _store(spark):
 
 
 def test_bulk_lookup_golden(spark):
-    req = spark.createDataFrame([("a",), ("a",), ("b",), ("zz",)], "log_id string")
+    req = spark.createDataFrame([("a",), ("a",), ("b",), ("zz",), (None,)], "log_id string")
     for bound in (None, 10):
         rows = sorted(
             (tuple(r) for r in lookup.bulk_lookup(req, _store(spark), max_broadcast_keys=bound).collect()),
             key=repr,
         )
         assert rows == sorted(
-            [("a", "text a", None), ("a", "text a", None), ("b", None, None), ("zz", None, "not_found")], key=repr
+            [
+                ("a", "text a", None),
+                ("a", "text a", None),
+                ("b", None, None),
+                ("zz", None, "not_found"),
+                (None, None, "not_found"),
+            ],
+            key=repr,
         )
 
 

@@ -59,10 +59,10 @@ def test_hot_id_lookup_is_split_and_correct(spark):
 def test_expand_counts_spreads_heavy_rows(spark):
     from logsift.operators import skew
 
-    df = spark.createDataFrame([("hot", 2500), ("a", 3), ("b", 1)], "k string, n long")
-    out = skew.expand_counts(df, "n", chunk=100)
+    df = spark.createDataFrame([("hot", 2500), ("a", 3), ("b", 1), (None, 2)], "k string, n long")
+    out = skew.expand_counts(df, "n", "k", skew.hot_keys(df.select(F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("i"), "k"), "k", hot_key_rows=100), chunk=100)
     got = {r.k: r.c for r in out.groupBy("k").agg(F.count(F.lit(1)).alias("c")).collect()}
-    assert got == {"hot": 2500, "a": 3, "b": 1}
+    assert got == {"hot": 2500, "a": 3, "b": 1, None: 2}
     per_task = out.filter(F.col("k") == "hot").groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(per_task) > 1  # the heavy key is expanded by several tasks
 
