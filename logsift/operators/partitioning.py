@@ -18,8 +18,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     with exchanges, adaptive execution would run stages to answer.)"""
     if df.isStreaming:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    current = df.rdd.getNumPartitions()
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave the scan as is
+        return df
     if current >= target:
         return df
     return df.repartition(target)

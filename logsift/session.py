@@ -47,13 +47,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir``; set a scratch folder only if unset.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
-    if not root:
-        root = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session
+        pass
+    if not root and sc is not None:
+        root = sc.getConf().get(CHECKPOINT_CONF, None)
     if not root:
         root = tempfile.mkdtemp(prefix="logsift-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 

@@ -202,7 +202,10 @@ def check_java(spark: SparkSession, patterns: list[Pattern]) -> None:
     """Compile every pattern in the JVM up front. Spark only reports a bad
     pattern when a task first evaluates it; this turns that into a load-time
     error with the pattern's id."""
-    jvm = spark.sparkContext._jvm
+    try:
+        jvm = spark.sparkContext._jvm
+    except Exception:  # no JVM handle (remote session): Spark reports at run time
+        return
     for p in patterns:
         try:
             jvm.java.util.regex.Pattern.compile(p.pattern)
