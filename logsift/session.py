@@ -16,6 +16,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SCRATCH_CONF = "spark.logsift.scratchDir"
 
 # Settings for local runs. On a cluster these come from spark-submit.
 LOCAL_CONF = {
@@ -55,8 +56,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getConf().get(CHECKPOINT_CONF, None)
     if not root:
-        root = tempfile.mkdtemp(prefix="logsift-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, root)
+        # Unset (local runs only). The core setting cannot change once the
+        # context runs, so the scratch folder is kept under our own key.
+        root = spark.conf.get(SCRATCH_CONF, None)
+        if not root:
+            root = tempfile.mkdtemp(prefix="logsift-ckpt-")
+            spark.conf.set(SCRATCH_CONF, root)
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root
