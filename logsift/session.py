@@ -26,6 +26,12 @@ LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only on proven sizes: no broadcast from static estimates
+    # (which do not see row expansion); adaptive execution still broadcasts
+    # a side whose materialised size is small, and our own broadcasts are
+    # behind row-count checks.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "16g",
 }
