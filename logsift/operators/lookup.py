@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.stores import BUCKET_COL, prune_to_buckets
+from ..sources.stores import BUCKET_COL, StoreTable, prune_to_buckets
 from .joins import MAX_BROADCAST_KEYS, key_set, semi_join_keys
 from .skew import EXPAND_CHUNK, expand_counts, hot_keys
 
@@ -49,10 +49,13 @@ def found_logs(
 ) -> DataFrame:
     """Store rows (``log_id, content``) for the requested ids, one per id.
 
-    With a bucketed store (``sources.stores``) pass its ``bucket_count``: the
-    scan is then pruned to the buckets the ids fall in."""
+    ``store`` is a DataFrame or a bucketed ``StoreTable``. For a table only
+    the buckets the ids fall in are listed and read; for a DataFrame of a
+    bucketed store pass its ``bucket_count`` to prune its partitions."""
     ids, small = key_set(request_ids, "log_id", max_broadcast_keys)
-    if bucket_count and BUCKET_COL in store.columns:
+    if isinstance(store, StoreTable):
+        store = prune_to_buckets(store, ids, bucket_count or store.bucket_count)
+    elif bucket_count and BUCKET_COL in store.columns:
         store = prune_to_buckets(store, ids, bucket_count)
     return semi_join_keys(store.select("log_id", "content"), ids, "log_id", small)
 

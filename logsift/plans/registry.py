@@ -213,7 +213,7 @@ def q_stream_match(spark, sf):
     ev_schema = _events(spark, sf).schema
     stream = job.file_events(spark, f"{sf.rstrip('/')}/events*.parquet", ev_schema, max_files_per_trigger=1)
     envelope = fixtures.event_values(stream)
-    out, _, _ = job.run_to_completion(spark, envelope, lambda: logs.read(spark), bucket_count=STREAM_BUCKETS)
+    out, _, _ = job.run_to_completion(spark, envelope, lambda: logs, bucket_count=STREAM_BUCKETS)
     if out is None:
         return spark.createDataFrame([], "regexId string, log_id string, line_number int, matched_text string")
     return out.select("regexId", "log_id", "line_number", "matched_text")

@@ -43,6 +43,16 @@ class StoreTable:
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(f"{self.schema}, {BUCKET_COL} int").parquet(self.path)
 
+    def read_buckets(self, spark: SparkSession, buckets: list[int]) -> DataFrame:
+        """Only the given buckets. Their directories are the only ones listed
+        (one glob), so a lookup's file listing grows with the buckets it
+        touches, not with the table."""
+        schema = f"{self.schema}, {BUCKET_COL} int"
+        if not buckets:
+            return spark.createDataFrame([], schema)
+        glob = os.path.join(self.path, f"{BUCKET_COL}={{{','.join(str(b) for b in sorted(buckets))}}}")
+        return spark.read.schema(schema).option("basePath", self.path).parquet(glob)
+
 
 def write_bucketed(
     df: DataFrame,
@@ -82,10 +92,19 @@ def write_version(df: DataFrame, base: str, bucket_count: int = DEFAULT_BUCKETS,
     return write_bucketed(df.select(*[c.split()[0] for c in schema.split(",")]), os.path.join(base, f"v-{uuid.uuid4().hex}"), bucket_count, schema=schema)
 
 
-def prune_to_buckets(store: DataFrame, ids: DataFrame, bucket_count: int) -> DataFrame:
-    """Keep only the store partitions that can hold ``ids``. The bucket list
-    has at most ``bucket_count`` entries, a configured bound."""
-    buckets = [r[0] for r in ids.select(bucket_of("log_id", bucket_count).alias("b")).distinct().collect()]
+def buckets_of(ids: DataFrame, bucket_count: int) -> list[int]:
+    """The buckets holding ``ids``: at most ``bucket_count`` small integers,
+    a configured bound."""
+    return [r[0] for r in ids.select(bucket_of("log_id", bucket_count).alias("b")).distinct().collect()]
+
+
+def prune_to_buckets(store, ids: DataFrame, bucket_count: int) -> DataFrame:
+    """Keep only the store partitions that can hold ``ids``. Given a
+    ``StoreTable``, only those bucket directories are read; given a
+    DataFrame, a partition filter prunes its (already listed) files."""
+    buckets = buckets_of(ids, bucket_count)
+    if isinstance(store, StoreTable):
+        return store.read_buckets(ids.sparkSession, buckets)
     return store.filter(F.col(BUCKET_COL).isin(buckets))
 
 

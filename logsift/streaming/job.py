@@ -12,7 +12,9 @@ store go to a quarantine table instead of vanishing.
 
 The store is read again inside every batch (``store_loader``): a Parquet
 DataFrame's file list is fixed when it is created, so a frame made once would
-never see logs written after the stream started.
+never see logs written after the stream started. A loader that returns a
+bucketed ``StoreTable`` lets each batch list and read only the buckets its
+ids fall in.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from ..operators.lookup import decode_events
 from ..operators.payload import kafka_payload
 from ..plans.micro_batch import process_ids
 from ..session import scratch_path
+from ..sources.stores import StoreTable
 
 log = logging.getLogger(__name__)
 
@@ -88,7 +91,7 @@ class MatchBatchWriter:
 
     def __init__(
         self,
-        store_loader: Callable[[], DataFrame],
+        store_loader: Callable[[], "DataFrame | StoreTable"],
         results_path: str,
         not_found_path: str,
         patterns=None,

@@ -65,7 +65,7 @@ def main(argv=None, spark: SparkSession | None = None):
 
     checkpoint = a.checkpoint or os.path.join(checkpoint_root(spark), "logsift-stream", a.topic)
     writer = job.MatchBatchWriter(
-        lambda: table.read(spark),
+        lambda: table,
         os.path.join(a.out, "results"),
         os.path.join(a.out, "not_found"),
         kafka=(a.brokers, a.kafka_out) if a.kafka_out else None,

@@ -214,3 +214,22 @@ def test_maintenance_versions(spark, tmp_path):
     st = M.delete_logs(spark, st, spark.createDataFrame([("a",)], "log_id string"))
     assert st.read_results(spark).count() == 0
     assert sorted(r.log_id for r in st.read_logs(spark).collect()) == ["b", "c", "n"]
+
+
+def test_lookup_lists_only_touched_buckets(spark, tmp_path):
+    import re
+
+    from logsift.sources import stores
+
+    logs = spark.createDataFrame(
+        [(f"log_{i}", "s", T0, f"line {i}", False) for i in range(300)],
+        "log_id string, source string, timestamp timestamp_ntz, content string, processed boolean",
+    )
+    table = stores.write_bucketed(logs, str(tmp_path / "logs"), bucket_count=32)
+    ids = spark.createDataFrame([("log_3",), ("log_77",), ("nope",)], "log_id string")
+    found = lookup.found_logs(ids, table)
+    assert sorted(r.log_id for r in found.collect()) == ["log_3", "log_77"]
+    touched = {int(m) for f in found.inputFiles() for m in re.findall(r"bucket=(\d+)", f)}
+    assert touched and touched <= set(stores.buckets_of(ids, 32))
+    empty = lookup.found_logs(spark.createDataFrame([], "log_id string"), table)
+    assert empty.count() == 0
