@@ -66,7 +66,9 @@ def write_bucketed(
     sub = F.pmod(F.xxhash64(F.col("log_id"), F.lit(1)), F.lit(files_per_bucket))
     (
         df.withColumn(BUCKET_COL, bucket_of("log_id", bucket_count))
-        .repartition(F.col(BUCKET_COL), sub)
+        .withColumn("_sub", sub)
+        .hint("rebalance", BUCKET_COL, "_sub")
+        .drop("_sub")
         .sortWithinPartitions("log_id")
         .write.mode("overwrite")
         .partitionBy(BUCKET_COL)
@@ -76,10 +78,12 @@ def write_bucketed(
 
 
 def append_bucketed(df: DataFrame, table: StoreTable) -> None:
-    """Add rows to a bucketed table as new files (nothing is rewritten)."""
+    """Add rows to a bucketed table as new files (nothing is rewritten). The
+    rebalance groups rows by bucket and lets adaptive execution split a
+    bucket that a hot log id makes large, so no task writes it alone."""
     (
         df.withColumn(BUCKET_COL, bucket_of("log_id", table.bucket_count))
-        .repartition(F.col(BUCKET_COL))
+        .hint("rebalance", BUCKET_COL)
         .sortWithinPartitions("log_id")
         .write.mode("append")
         .partitionBy(BUCKET_COL)

@@ -76,9 +76,12 @@ def write_kafka(matches: DataFrame, brokers: str, topic: str) -> None:
 
 
 def write_partition(df: DataFrame, path: str, batch_id: int) -> None:
-    """Overwrite this batch's partition only (idempotent on replay)."""
+    """Overwrite this batch's partition only (idempotent on replay). The
+    rebalance lets adaptive execution size the files (no file per task for a
+    small batch, no huge task for a skewed one)."""
     (
         df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        .hint("rebalance")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_id")

@@ -119,3 +119,24 @@ def test_upsert_hot_id(spark):
     with conf(spark, **SHUFFLE_ONLY):
         r = store.upsert_logs(st, writes, max_broadcast_keys=None).collect()
     assert len(r) == 1 and r[0].content == "c29999" and r[0].source == "s" and r[0].processed is True
+
+
+def test_hot_bucket_append_is_split(spark, tmp_path):
+    import os
+
+    from logsift.sources import stores, tables
+
+    res = spark.range(40000).select(
+        F.when(F.col("id") % 3 != 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("log_id"),
+        F.lit("R").alias("regex_id"),
+        F.col("id").cast("int").alias("line_number"),
+        F.lit("m" * 50).alias("match"),
+        F.lit("m").alias("line_content"),
+    )
+    table = stores.StoreTable(str(tmp_path / "res"), 16, tables.RESULTS_SCHEMA)
+    with conf(spark, **{"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.shuffle.partitions": "8"}):
+        stores.append_bucketed(res, table)
+    hot_bucket = spark.range(1).select(stores.bucket_of(F.lit("hot"), 16)).first()[0]
+    files = [f for f in os.listdir(tmp_path / "res" / f"bucket={hot_bucket}") if f.endswith(".parquet")]
+    assert len(files) > 1
+    assert table.read(spark).count() == 40000
