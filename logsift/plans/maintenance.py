@@ -1,11 +1,12 @@
 """Store maintenance as jobs over versioned, bucketed tables.
 
 The reference's write endpoints (create/update a log, store results and flag
-their logs, delete a log with its results) become jobs that read the current
-version of a store, apply one operator and write the next version into a
-fresh directory below the store's base folder. Each version's plan starts at
-its files, so repeated maintenance never builds a long lineage, and a failed
-job leaves the previous version untouched.
+their logs, delete a log with its results) become jobs over bucketed
+tables. Upserts and processed flags rewrite only the buckets their ids fall
+in (staged in the shared folder, then swapped in by dynamic partition
+overwrite); results are appended; a delete writes a new version of both
+stores into fresh directories. Each job's plan starts at files, so repeated
+maintenance never builds a long lineage.
 """
 
 from __future__ import annotations
@@ -16,7 +17,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import store as S
-from ..sources.stores import DEFAULT_BUCKETS, StoreTable, append_bucketed, write_bucketed, write_version
+from ..session import scratch_path
+from ..sources.stores import (
+    DEFAULT_BUCKETS,
+    StoreTable,
+    append_bucketed,
+    buckets_of,
+    rewrite_buckets,
+    write_bucketed,
+    write_version,
+)
 from ..sources.tables import LOGS_SCHEMA, RESULTS_SCHEMA
 
 
@@ -60,24 +70,50 @@ def _cols(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(",")]
 
 
-def post_logs(spark: SparkSession, stores: LogStores, writes: DataFrame) -> LogStores:
+def post_logs(spark: SparkSession, stores: LogStores, writes: DataFrame, in_place: bool = True) -> LogStores:
     """Upsert a batch of log writes (``log_id, source, timestamp, content,
-    seq``)."""
-    return stores._next_logs(S.upsert_logs(stores.read_logs(spark), writes))
+    seq``). In place, only the buckets the written ids fall in are rewritten;
+    otherwise the whole store is written as a new version."""
+    if not in_place:
+        return stores._next_logs(S.upsert_logs(stores.read_logs(spark), writes))
+    buckets = buckets_of(writes.filter("log_id IS NOT NULL"), stores.logs.bucket_count)
+    rewrite_buckets(
+        spark,
+        stores.logs,
+        buckets,
+        lambda current: S.upsert_logs(current, writes).select(*_cols(LOGS_SCHEMA)),
+        scratch_path(spark, "staging", "logs"),
+    )
+    return stores
 
 
 def post_results(spark: SparkSession, stores: LogStores, batch: DataFrame) -> tuple[LogStores, DataFrame]:
     """Store a batch of result rows. Rows that satisfy the constraints are
     appended to the result store (new files only: results are append-only,
-    as in the reference) and their logs are flagged processed in a new log
-    version; the rejected rows, with a reason, are returned for quarantine."""
+    as in the reference) and their logs are flagged processed (only their
+    buckets are rewritten). The rejected rows, with a reason, are written to
+    a quarantine table and returned."""
     logs = stores.read_logs(spark)
     checked = S.check_results(batch, logs)
     accepted = checked.filter("reject_reason IS NULL").drop("reject_reason")
     rejected = checked.filter("reject_reason IS NOT NULL")
     append_bucketed(accepted.select(*_cols(RESULTS_SCHEMA)), stores.results)
-    marked = S.mark_processed(logs, stores.read_results(spark), max_broadcast_keys=None)
-    return stores._next_logs(marked), rejected
+    # Rejects go to a quarantine table before the logs change underneath.
+    quarantine = scratch_path(spark, "quarantine", "results")
+    rejected.write.parquet(quarantine)
+    rejected = spark.read.schema(f"{RESULTS_SCHEMA}, reject_reason string").parquet(quarantine)
+    # Flag the logs of this batch: only their buckets are rewritten.
+    buckets = buckets_of(accepted.select("log_id"), stores.logs.bucket_count)
+    rewrite_buckets(
+        spark,
+        stores.logs,
+        buckets,
+        lambda current: S.mark_processed(current, stores.results.read_buckets(spark, buckets).drop("bucket")).select(
+            *_cols(LOGS_SCHEMA)
+        ),
+        scratch_path(spark, "staging", "logs"),
+    )
+    return stores, rejected
 
 
 def delete_logs(spark: SparkSession, stores: LogStores, ids: DataFrame) -> LogStores:

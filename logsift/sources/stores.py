@@ -48,11 +48,23 @@ class StoreTable:
         (one glob), so a lookup's file listing grows with the buckets it
         touches, not with the table."""
         schema = f"{self.schema}, {BUCKET_COL} int"
-        if not buckets:
+        existing = self._existing_buckets(spark, buckets)
+        if not existing:
             return spark.createDataFrame([], schema)
-        glob = os.path.join(self.path, f"{BUCKET_COL}={{{','.join(str(b) for b in sorted(buckets))}}}")
+        glob = os.path.join(self.path, f"{BUCKET_COL}={{{','.join(str(b) for b in sorted(existing))}}}")
         return spark.read.schema(schema).option("basePath", self.path).parquet(glob)
 
+    def _existing_buckets(self, spark: SparkSession, buckets: list[int]) -> list[int]:
+        # One status call per bucket directory (at most bucket_count).
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        out = []
+        for b in buckets:
+            p = jvm.org.apache.hadoop.fs.Path(os.path.join(self.path, f"{BUCKET_COL}={b}"))
+            if p.getFileSystem(conf).exists(p):
+                out.append(b)
+        return out
+
 
 def write_bucketed(
     df: DataFrame,
@@ -102,6 +114,26 @@ def buckets_of(ids: DataFrame, bucket_count: int) -> list[int]:
     return [r[0] for r in ids.select(bucket_of("log_id", bucket_count).alias("b")).distinct().collect()]
 
 
+def rewrite_buckets(spark: SparkSession, table: StoreTable, buckets: list[int], transform, staging: str) -> None:
+    """Rewrite only ``buckets`` of ``table``: read them, apply ``transform``
+    (rows without the bucket column in, rows out), stage the result under
+    ``staging`` and replace exactly those bucket directories (dynamic
+    partition overwrite). The cost grows with the touched buckets, not with
+    the table. For transforms that never drop a bucket's last row (upsert,
+    processed flags); a delete writes a new version instead. A failure
+    before the final step leaves the table as it was; the final step is
+    idempotent, so a retry completes it."""
+    current = table.read_buckets(spark, buckets).drop(BUCKET_COL)
+    staged = write_bucketed(transform(current), staging, table.bucket_count, schema=table.schema)
+    (
+        staged.read(spark)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(BUCKET_COL)
+        .parquet(table.path)
+    )
+
+
 def prune_to_buckets(store, ids: DataFrame, bucket_count: int) -> DataFrame:
     """Keep only the store partitions that can hold ``ids``. Given a
     ``StoreTable``, only those bucket directories are read; given a

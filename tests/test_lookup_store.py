@@ -233,3 +233,33 @@ def test_lookup_lists_only_touched_buckets(spark, tmp_path):
     assert touched and touched <= set(stores.buckets_of(ids, 32))
     empty = lookup.found_logs(spark.createDataFrame([], "log_id string"), table)
     assert empty.count() == 0
+
+
+def test_upsert_in_place_rewrites_only_touched_buckets(spark, tmp_path):
+    import os
+
+    from logsift.plans import maintenance as M
+    from logsift.sources import stores
+
+    logs = spark.createDataFrame(
+        [(f"log_{i}", "s", T0, f"c{i}", False) for i in range(200)],
+        "log_id string, source string, timestamp timestamp_ntz, content string, processed boolean",
+    )
+    empty = spark.createDataFrame([], "log_id string, regex_id string, line_number int, match string, line_content string")
+    st = M.LogStores.create(str(tmp_path / "s"), logs, empty, bucket_count=16)
+
+    def files():
+        root = st.logs.path
+        return {d: sorted(os.listdir(os.path.join(root, d))) for d in os.listdir(root) if d.startswith("bucket=")}
+
+    before = files()
+    writes = spark.createDataFrame(
+        [("log_5", "w", T0, "new", 1), ("log_new", "w", T0, "n", 2)],
+        "log_id string, source string, timestamp timestamp_ntz, content string, seq long",
+    )
+    M.post_logs(spark, st, writes)
+    after = files()
+    touched = {f"bucket={b}" for b in stores.buckets_of(writes, 16)}
+    assert {d for d in after if after[d] != before.get(d)} <= touched
+    got = {r.log_id: r.content for r in st.read_logs(spark).collect()}
+    assert len(got) == 201 and got["log_5"] == "new" and got["log_new"] == "n" and got["log_6"] == "c6"
