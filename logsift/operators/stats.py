@@ -33,7 +33,16 @@ def stats_record(logs: DataFrame, results: DataFrame) -> DataFrame:
     by_type = results.groupBy("regex_id").agg(F.count(F.lit(1)).alias("n"))
     if not at_most(by_type, MAX_MAP_IDS):
         raise ValueError(f"more than {MAX_MAP_IDS} distinct regex ids; read matches_by_type as rows")
+    # Entries sorted by id, so the map (and its JSON) is deterministic.
     as_map = by_type.select(
-        F.map_from_entries(F.collect_list(F.struct("regex_id", "n"))).alias("matches_by_type")
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("regex_id", "n")))).alias("matches_by_type")
     ).scalar()
     return stats(logs, results).select("*", as_map.alias("matches_by_type"))
+
+
+def stats_json(logs: DataFrame, results: DataFrame) -> DataFrame:
+    """The stats record with ``matches_by_type`` as a JSON object, the shape
+    the statistics endpoint returns."""
+    rec = stats_record(logs, results)
+    return rec.select("total_logs", "processed_logs", "total_matches", F.to_json("matches_by_type").alias("matches_by_type"))
+

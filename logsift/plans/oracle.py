@@ -319,6 +319,13 @@ def oracle_sql() -> dict[str, str]:
         "SELECT (SELECT count(*) FROM marked) AS total_logs, (SELECT count(*) FROM marked WHERE processed) AS processed_logs, "
         "(SELECT count(*) FROM results) AS total_matches",
     )
+    out["stats_record"] = _with(
+        rc,
+        "SELECT (SELECT count(*) FROM marked) AS total_logs, (SELECT count(*) FROM marked WHERE processed) AS processed_logs, "
+        "(SELECT count(*) FROM results) AS total_matches, "
+        "(SELECT '{' || string_agg('\"' || regex_id || '\":' || CAST(n AS VARCHAR), ',' ORDER BY regex_id) || '}' "
+        "FROM (SELECT regex_id, count(*) AS n FROM results GROUP BY regex_id)) AS matches_by_type",
+    )
     out["matches_by_type"] = _with(
         rc, "SELECT regex_id, count(*) AS n FROM results GROUP BY regex_id ORDER BY n DESC, regex_id"
     )

@@ -187,6 +187,10 @@ def q_stats(spark, sf):
     return stats.stats(_marked(spark, sf), _results(spark, sf))
 
 
+def q_stats_record(spark, sf):
+    return stats.stats_json(_marked(spark, sf), _results(spark, sf))
+
+
 def q_matches_by_type(spark, sf):
     return stats.matches_by_type(_results(spark, sf))
 
