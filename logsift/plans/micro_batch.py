@@ -45,7 +45,7 @@ def process_ids(
     deduplicated before the lookup, which gives the same rows because the
     store holds one row per id.
     """
-    found = lookup.found_logs(ids, logs_store, max_broadcast_keys, bucket_count)
+    found = plain_found = lookup.found_logs(ids, logs_store, max_broadcast_keys, bucket_count)
     obs = {}
     if observe:
         # Counted as a side effect of the one action that writes the matches
@@ -59,12 +59,13 @@ def process_ids(
     else:
         matches = matching.match_lines(found, patterns)
     # Missing ids: requested minus found. Both sides are bounded by the id
-    # set, so no store-sized data is shuffled.
+    # set, so no store-sized data is shuffled, and only the store's log_id
+    # column is read for it.
     missing = (
         ids.select("log_id")
         .filter(F.col("log_id").isNotNull())
         .distinct()
-        .join(found.select("log_id"), "log_id", "left_anti")
+        .join(plain_found.select("log_id"), "log_id", "left_anti")
     )
     return BatchOutputs(
         found=found, matches=matches, results=store.results_rows(matches), not_found=missing, observations=obs
