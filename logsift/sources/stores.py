@@ -55,15 +55,21 @@ class StoreTable:
         return spark.read.schema(schema).option("basePath", self.path).parquet(glob)
 
     def _existing_buckets(self, spark: SparkSession, buckets: list[int]) -> list[int]:
-        # One status call per bucket directory (at most bucket_count).
+        # One listing of the table's top directory (at most bucket_count
+        # entries), not one call per bucket.
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
-        out = []
-        for b in buckets:
-            p = jvm.org.apache.hadoop.fs.Path(os.path.join(self.path, f"{BUCKET_COL}={b}"))
-            if p.getFileSystem(conf).exists(p):
-                out.append(b)
-        return out
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(conf)
+        if not fs.exists(root):
+            return []
+        prefix = f"{BUCKET_COL}="
+        present = set()
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith(prefix) and name[len(prefix):].isdigit():
+                present.add(int(name[len(prefix):]))
+        return [b for b in buckets if b in present]
 
 
 def write_bucketed(
