@@ -117,6 +117,9 @@ class MatchBatchWriter:
         # source. Lost blocks are recomputed from the batch's offsets.
         ids = batch.select("log_id").persist()
         try:
+            if ids.isEmpty():  # nothing decodable in this batch: no lookup, no writes
+                self.history.append({"batch_id": batch_id, "found": 0, "cleaned_lines": 0, "matches": 0})
+                return
             out = process_ids(
                 ids, self.store_loader(), self.patterns, self.max_broadcast_keys, self.bucket_count, observe=True
             )
