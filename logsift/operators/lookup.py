@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.stores import BUCKET_COL, StoreTable, prune_to_buckets
+from ..sources.stores import BUCKET_COL, StoreTable, bucket_profile, prune_to_buckets
 from .joins import MAX_BROADCAST_KEYS, key_set, semi_join_keys
 from .skew import EXPAND_CHUNK, expand_counts, hot_keys
 
@@ -52,10 +52,15 @@ def found_logs(
     ``store`` is a DataFrame or a bucketed ``StoreTable``. For a table only
     the buckets the ids fall in are listed and read; for a DataFrame of a
     bucketed store pass its ``bucket_count`` to prune its partitions."""
-    ids, small = key_set(request_ids, "log_id", max_broadcast_keys)
     if isinstance(store, StoreTable):
-        store = prune_to_buckets(store, ids, bucket_count or store.bucket_count)
-    elif bucket_count and BUCKET_COL in store.columns:
+        # One aggregation gives the touched buckets and the id count.
+        buckets, n_ids = bucket_profile(request_ids, bucket_count or store.bucket_count)
+        ids = request_ids.select("log_id").filter(F.col("log_id").isNotNull()).distinct()
+        small = max_broadcast_keys is not None and n_ids <= max_broadcast_keys
+        table = store.read_buckets(request_ids.sparkSession, buckets)
+        return semi_join_keys(table.select("log_id", "content"), ids, "log_id", small)
+    ids, small = key_set(request_ids, "log_id", max_broadcast_keys)
+    if bucket_count and BUCKET_COL in store.columns:
         store = prune_to_buckets(store, ids, bucket_count)
     return semi_join_keys(store.select("log_id", "content"), ids, "log_id", small)
 

@@ -114,6 +114,19 @@ def write_version(df: DataFrame, base: str, bucket_count: int = DEFAULT_BUCKETS,
     return write_bucketed(df.select(*[c.split()[0] for c in schema.split(",")]), os.path.join(base, f"v-{uuid.uuid4().hex}"), bucket_count, schema=schema)
 
 
+def bucket_profile(ids: DataFrame, bucket_count: int) -> tuple[list[int], int]:
+    """The buckets holding ``ids`` and the number of distinct ids, from one
+    aggregation (at most ``bucket_count`` rows reach the driver). A log id
+    lives in one bucket, so per-bucket distinct counts add up exactly."""
+    rows = (
+        ids.filter(F.col("log_id").isNotNull())
+        .groupBy(bucket_of("log_id", bucket_count).alias("b"))
+        .agg(F.count_distinct("log_id").alias("n"))
+        .collect()
+    )
+    return [r.b for r in rows], sum(r.n for r in rows)
+
+
 def buckets_of(ids: DataFrame, bucket_count: int) -> list[int]:
     """The buckets holding ``ids``: at most ``bucket_count`` small integers,
     a configured bound."""
