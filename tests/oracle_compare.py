@@ -31,6 +31,16 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TO_DUCK = {
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+    "double": "DOUBLE",
+}
+
+
 def _norm(v):
     if isinstance(v, _dt.datetime):
         return v.replace(tzinfo=None).isoformat()
@@ -61,12 +71,16 @@ def compare(spark, name, sf_dir, con=None, queries=None, sqls=None):
     s_cols = df.columns
     if name not in sqls:
         return {"name": name, "ok": None, "rows": len(s_rows), "spark_s": t1 - t0}
-    res = con.execute(sqls[name])
-    d_cols = [c[0] for c in res.description]
-    d_rows = res.fetchall()
+    rel = con.sql(sqls[name])
+    d_cols = list(rel.columns)
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    d_rows = rel.fetchall()
     t2 = time.time()
     a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
-    ok = sorted(s_cols) == sorted(d_cols) and a == b
+    type_diffs = [
+        (c, t, d_types.get(c)) for c, t in df.dtypes if SPARK_TO_DUCK.get(t, t) != d_types.get(c)
+    ]
+    ok = sorted(s_cols) == sorted(d_cols) and a == b and not type_diffs
     out = {
         "name": name,
         "ok": ok,
@@ -77,6 +91,7 @@ def compare(spark, name, sf_dir, con=None, queries=None, sqls=None):
     }
     if not ok:
         out["cols"] = (s_cols, d_cols)
+        out["type_diffs"] = type_diffs
         sa, sb = set(a), set(b)
         out["only_spark"] = list(sa - sb)[:3]
         out["only_oracle"] = list(sb - sa)[:3]
