@@ -9,6 +9,7 @@ output is a lazy DataFrame; sinks decide what to materialise.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
@@ -50,7 +51,8 @@ def process_ids(
     if observe:
         # Counted as a side effect of the one action that writes the matches
         # (the reference runs a separate count job for each).
-        obs = {k: Observation(f"{k}") for k in ("found", "cleaned_lines", "matches")}
+        tag = uuid.uuid4().hex[:12]  # unique per batch: concurrent streams must not share names
+        obs = {k: Observation(f"{k}_{tag}") for k in ("found", "cleaned_lines", "matches")}
         found = found.observe(obs["found"], F.count(F.lit(1)).alias("rows"))
         cleaned = lines.clean_lines(found).observe(obs["cleaned_lines"], F.count(F.lit(1)).alias("rows"))
         matches = matching.match_cleaned_lines(cleaned, patterns).observe(
