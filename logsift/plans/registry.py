@@ -113,11 +113,7 @@ def q_log_by_id(spark, sf):
 
 def q_batch_metrics(spark, sf):
     ev = _events(spark, sf)
-    requests = fixtures.lookup_requests(ev)
-    logs = fixtures.render_logs(ev)
-    lk = lookup.bulk_lookup(requests, logs)
-    out = micro_batch.process_ids(requests, logs)
-    return payload.batch_metrics(lk, lines.clean_lines(lk), out.matches)
+    return payload.batch_metrics_single_pass(fixtures.lookup_requests(ev), fixtures.render_logs(ev))
 
 
 # --- output side -------------------------------------------------------------
