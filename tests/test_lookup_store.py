@@ -263,3 +263,19 @@ def test_upsert_in_place_rewrites_only_touched_buckets(spark, tmp_path):
     assert {d for d in after if after[d] != before.get(d)} <= touched
     got = {r.log_id: r.content for r in st.read_logs(spark).collect()}
     assert len(got) == 201 and got["log_5"] == "new" and got["log_new"] == "n" and got["log_6"] == "c6"
+
+
+def test_batch_metrics_single_pass_equals_generic(spark):
+    from logsift.operators import lines, matching
+
+    st = spark.createDataFrame(
+        [("a", "x [ERROR] y\n\nz user_id=u1"), ("b", None), ("c", "\t\né")],
+        "log_id string, content string",
+    )
+    req = spark.createDataFrame([("a",), ("a",), ("a",), ("b",), ("c",), ("zz",)], "log_id string")
+    lk = lookup.bulk_lookup(req, st)
+    found = lookup.found_logs(req, st)
+    generic = payload.batch_metrics(lk, lines.clean_lines(lk), matching.match_lines(found)).first()
+    single = payload.batch_metrics_single_pass(req, st).first()
+    assert tuple(generic) == tuple(single)
+    assert (single.fetched, single.valid, single.cleaned_lines, single.matches) == (6, 4, 7, 2)
