@@ -19,6 +19,7 @@ from array import array
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
@@ -189,10 +190,12 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", ids: st
 
     def run(batches):
         c = codec(path)
-        for pdf in batches:
-            yield pdf.assign(**{ids: [c.encode(t or "") for t in pdf[text]]})
+        for b in batches:
+            found = pa.array([c.encode(t or "") for t in b.column(at).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*b.columns, found], names=[*b.schema.names, ids])
 
-    return kept.mapInPandas(run, out)
+    at = kept.columns.index(text)
+    return kept.mapInArrow(run, out)
 
 
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -205,14 +208,15 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches):
         c = codec(path)
         sha = lambda data: hashlib.sha256(data).hexdigest()
-        for pdf in batches:
-            ids = [c.encode(t or "") for t in pdf["text"]]
-            yield pdf[["doc_id"]].assign(
-                n_tokens=[len(i) // 4 for i in ids],
-                ids_sha256=[sha(i) for i in ids],
-                decoded_sha256=[sha(c.decode(i).encode("utf-8")) for i in ids],
-            )
-
-    return docs.select("doc_id", "text").mapInPandas(
+        for b in batches:
+            ids = [c.encode(t or "") for t in b.column("text").to_pylist()]
+            found = {
+                "n_tokens": pa.array([len(i) // 4 for i in ids], pa.int64()),
+                "ids_sha256": pa.array([sha(i) for i in ids], pa.string()),
+                "decoded_sha256": pa.array([sha(c.decode(i).encode("utf-8")) for i in ids], pa.string()),
+            }
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *found.values()], names=["doc_id", *found])
+
+    return docs.select("doc_id", "text").mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

@@ -31,7 +31,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logsift.llm.bpe import vocabulary_path
@@ -206,14 +206,10 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
 def _read(spark: SparkSession, path: str, schema: str, value) -> DataFrame:
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(path)
-    # One row a shard: its place in the whole order.
+    # One row a shard, so as many rows as the store was written with shards.
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     sums = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
-    later = sums.select(F.col("shard").alias("earlier"), F.col("n").alias("before"))
-    starts = (
-        sums.join(later, F.col("earlier") < F.col("shard"), "left")
-        .groupBy("shard")
-        .agg(F.coalesce(F.sum("before"), F.lit(0)).alias("base"))
-    )
+    starts = sums.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     name = schema.split(", ")[-1].split()[0]
 
     def run(batches):
@@ -228,7 +224,7 @@ def _read(spark: SparkSession, path: str, schema: str, value) -> DataFrame:
                 out[name] = [value(ids[a:b]) for a, b in zip(begins, ends, strict=True)]
                 yield out
 
-    return blocks.join(starts, "shard").mapInPandas(run, schema)
+    return blocks.join(F.broadcast(starts), "shard").mapInPandas(run, schema)
 
 
 def offsets(spark: SparkSession, docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
