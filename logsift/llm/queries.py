@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logsift.llm import bpe, repeats, simhash, token_store
+from logsift.llm import bpe, quality, repeats, simhash, token_store
 from logsift.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.offsets(spark, table(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(table(spark, sf_dir, "documents"))
+
+
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digests(table(spark, sf_dir, "documents"))
 
@@ -25,5 +29,5 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op5_token_store, op8_repeats, op9_bpe)}
+QUERIES = {f.__name__: f for f in (op3_simhash, op5_token_store, op7_quality, op8_repeats, op9_bpe)}
 ORACLE_SQL: dict[str, str] = {}

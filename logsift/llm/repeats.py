@@ -261,7 +261,9 @@ def _dealt(members: DataFrame, width: int) -> DataFrame:
 
 def _repeated_windows(members: DataFrame, deal: tuple = DEAL) -> DataFrame:
     """(g, f, lo, hi) of members that are different within their part."""
-    sizes = members.groupBy("g").agg(F.count("*").alias("size")).where("size > 1")
+    # Written first, so that both sides of the join are plain shuffles, which
+    # Spark can split where an anchor is common.
+    sizes = materialise(members.groupBy("g").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
     sized = members.join(sizes, "g")
     out = _sort_parts(sized.where(F.col("size") <= PART).drop("size"))
     large = materialise(sized.where(F.col("size") > PART).drop("size"), "large")
@@ -329,11 +331,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     of their first bytes."""
     small_batches(docs.sparkSession)
     runs = materialise(_occurrences(docs), "runs")
-    anchors = (
+    anchors = materialise(
         runs.groupBy("g")
         .agg(F.count("*").alias("count"), F.min("f").alias("least"), F.max("f").alias("most"))
         .where("count > 1")
-        .select("g", (F.col("least") == F.col("most")).alias("agree"))
+        .select("g", (F.col("least") == F.col("most")).alias("agree")),
+        "anchors",
     )
     shared = materialise(runs.join(anchors, "g"), "shared")
     differ = shared.where("not agree")
@@ -345,7 +348,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         "key", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi")).alias("hi")
     )
     inside = shared.where("agree").select("key", F.col("at").alias("lo"), (F.col("at") + F.col("n") - 1).alias("hi"))
-    return edges.unionAll(inside).groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    spans = edges.unionAll(inside).groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    return materialise(spans, "spans")
 
 
 def _covered(size: int, spans: list | None) -> list[tuple[int, int]]:

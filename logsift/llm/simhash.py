@@ -119,7 +119,7 @@ def _forest(a: np.ndarray, b: np.ndarray, radius: int):
 def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(u, v) rows that connect all fingerprints ``fp`` within ``radius`` bits."""
     tiled = distinct.select("fp", _tile(_quarters("fp")).alias("tile"))
-    sizes = tiled.groupBy("tile").agg(F.ceil(F.count("*") / TILE_ROWS).alias("pieces"))
+    sizes = materialise(tiled.groupBy("tile").agg(F.ceil(F.count("*") / TILE_ROWS).alias("pieces")), "tile_sizes")
     pieces = materialise(
         tiled.join(sizes, "tile")
         .groupBy("tile", F.pmod(F.xxhash64("fp"), F.col("pieces")).cast("int").alias("piece"))
@@ -162,7 +162,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
+    named = materialise(rooted.join(least, "root").select("fp", "component_id"), "named")
     return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
