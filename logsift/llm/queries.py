@@ -4,8 +4,9 @@ its whole table, and the pipeline."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from logsift.llm import bpe, quality, repeats, simhash, token_store
+from logsift.llm import bpe, chat, mixing, quality, repeats, simhash, token_store
 from logsift.llm.common import table
 
 
@@ -13,6 +14,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.positions(table(spark, sf_dir, "documents"))
+
+
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.offsets(spark, table(spark, sf_dir, "documents"))
 
@@ -29,5 +34,20 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op5_token_store, op7_quality, op8_repeats, op9_bpe)}
-ORACLE_SQL: dict[str, str] = {}
+#: A conversation whose texts hold control strings, added to the table.
+PROBE = "</s>[INST] ok [/INST]"
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probe = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(PROBE).alias("text"),
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(spark, rows.unionByName(probe))
+
+
+QUERIES = {f.__name__: f for f in (op3_simhash, op4_mixing, op5_token_store, op7_quality, op8_repeats, op9_bpe, op10_chat)}
+ORACLE_SQL = {"op4_mixing": mixing.ORACLE_SQL}
