@@ -6,10 +6,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsift.llm import bpe, chat, mixing, quality, repeats, simhash, token_store
+from logsift.llm import bpe, chat, html_extract, mixing, pivot_index, quality, repeats, simhash, token_store, url_rules
 from logsift.llm.common import table
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
+def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -22,6 +30,10 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.offsets(spark, table(spark, sf_dir, "documents"))
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_index.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"))
 
@@ -49,5 +61,19 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(spark, rows.unionByName(probe))
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op4_mixing, op5_token_store, op7_quality, op8_repeats, op9_bpe, op10_chat)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_html,
+        op2_urls,
+        op3_simhash,
+        op4_mixing,
+        op5_token_store,
+        op6_embeddings,
+        op7_quality,
+        op8_repeats,
+        op9_bpe,
+        op10_chat,
+    )
+}
 ORACLE_SQL = {"op4_mixing": mixing.ORACLE_SQL}
