@@ -208,7 +208,9 @@ def _judged(rows: DataFrame, pools: DataFrame, estimate: DataFrame) -> DataFrame
     """``rows`` with q_kept. A pool without an estimate rejects nothing more."""
     far = F.coalesce(_distance() > chi2_quantile(1 - REJECT, D), F.lit(False))
     judged = _pooled(rows, pools).join(estimate, "pool", "left")
-    return judged.withColumn("q_kept", ~F.col("q_failed") & ~far)
+    # One condition over both sides of the join: as two, Spark would move the
+    # first below and compute the statistics a second time there.
+    return judged.withColumn("q_kept", F.when(F.col("q_failed"), F.lit(False)).otherwise(~far))
 
 
 def _prepared(docs: DataFrame) -> DataFrame:
