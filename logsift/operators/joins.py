@@ -16,9 +16,9 @@ MAX_BROADCAST_KEYS = 2_000_000
 
 
 def at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has no more than ``n`` rows. Stops reading each
-    partition after ``n + 1`` rows."""
-    return df.limit(n + 1).count() <= n
+    """True when ``df`` has no more than ``n`` rows: a partial count on every
+    task, one number from each."""
+    return df.count() <= n
 
 
 def key_set(df: DataFrame, key: str, max_broadcast_keys: int | None = MAX_BROADCAST_KEYS) -> tuple[DataFrame, bool]:

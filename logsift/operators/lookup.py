@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..sources.stores import BUCKET_COL, StoreTable, bucket_profile, prune_to_buckets
 from .joins import MAX_BROADCAST_KEYS, key_set, semi_join_keys
-from .skew import EXPAND_CHUNK, expand_counts, hot_keys
+from .skew import expand_counts
 
 # Schema of an event message value (all strings; only log_id is used).
 EVENT_SCHEMA = "log_id string, timestamp string, source string"
@@ -84,8 +84,7 @@ def bulk_lookup(
         F.when(F.col("_found").isNull(), F.lit(NOT_FOUND)).alias("status"),
         "_n",
     )
-    heavy = hot_keys(requests, "log_id", hot_key_rows=EXPAND_CHUNK)
-    return expand_counts(joined, "_n", "log_id", heavy)
+    return expand_counts(joined, "_n", "log_id")
 
 
 def not_found_ids(lookup: DataFrame) -> DataFrame:

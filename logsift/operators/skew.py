@@ -5,15 +5,15 @@ Adaptive execution splits a skewed partition only when both join inputs are
 plain shuffles; an aggregated key side (distinct ids) rules that out. So hot
 keys are handled in the plan:
 
-- ``hot_keys`` finds the heaviest keys above a row threshold with one
-  pre-aggregated count (map-side partial counts) and returns at most
-  ``max_keys`` of them, heaviest first. The list is bounded by construction.
+- ``hot_keys`` finds all keys above a row threshold with one pre-aggregated
+  count (map-side partial counts). There are at most (rows / threshold) of
+  them; none is left out.
 - ``salted_join`` joins on ``(key, salt)``: rows of a hot key on the large
   side get a deterministic salt from a hash of other columns, and the key's
   row(s) on the small side are repeated once per salt value. Other keys keep
   salt 0. Results equal the plain join for inner, left, semi and anti joins.
-- ``expand_counts`` turns ``(key, n)`` rows back into ``n`` rows each, with a
-  heavy key cut into chunks that are spread over tasks first.
+- ``expand_counts`` turns ``(key, n)`` rows back into ``n`` rows each, cut into
+  chunks that are spread over tasks first.
 """
 
 from __future__ import annotations
@@ -25,20 +25,14 @@ from pyspark.sql import functions as F
 
 # A key with more rows than this is split.
 HOT_KEY_ROWS = 1_000_000
-# At most this many keys are split (the heaviest ones).
-MAX_HOT_KEYS = 1000
-# Upper bound on the ways one key is split.
-MAX_SALT = 1024
 # Rows generated per chunk when expanding counts.
 EXPAND_CHUNK = 100_000
 
 SALT_COL = "_salt"
 
 
-def hot_keys(
-    df: DataFrame, key: str, hot_key_rows: int | None = HOT_KEY_ROWS, max_keys: int = MAX_HOT_KEYS
-) -> dict:
-    """``{key: ways}`` for the heaviest keys with more than ``hot_key_rows``
+def hot_keys(df: DataFrame, key: str, hot_key_rows: int | None = HOT_KEY_ROWS) -> dict:
+    """``{key: ways}`` for every key with more than ``hot_key_rows``
     rows (empty when ``hot_key_rows`` is None)."""
     if hot_key_rows is None or df.isStreaming:
         return {}
@@ -46,11 +40,9 @@ def hot_keys(
         df.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter((F.col("_n") > hot_key_rows) & F.col(key).isNotNull())
-        .orderBy(F.desc("_n"))
-        .limit(max_keys)
         .collect()
     )
-    return {r[0]: min(MAX_SALT, math.ceil(r[1] / hot_key_rows)) for r in rows}
+    return {r[0]: math.ceil(r[1] / hot_key_rows) for r in rows}
 
 
 def _ways(key: str, hot: dict) -> Column:
@@ -72,29 +64,18 @@ def salted_join(
     return large_s.join(small_s, [key, SALT_COL], how).drop(SALT_COL)
 
 
-def expand_counts(df: DataFrame, count_col: str, key: str | None = None, heavy: dict | None = None, chunk: int = EXPAND_CHUNK) -> DataFrame:
+def expand_counts(df: DataFrame, count_col: str, key: str, chunk: int = EXPAND_CHUNK) -> DataFrame:
     """Each row repeated ``count_col`` times (the column is dropped).
 
-    Rows of the ``heavy`` keys (from ``hot_keys`` with ``hot_key_rows=chunk``,
-    a bounded list) are cut into chunks of ``chunk`` copies and the chunks
-    spread round-robin before expanding, so no task expands a heavy key
-    alone. Without heavy keys the rows expand where they are (no union, no
-    shuffle). With ``key=None`` every row with more than ``chunk`` copies is
-    treated as heavy."""
-    n = F.col(count_col)
-
-    def in_place(d):
-        return d.withColumn("_i", F.explode(F.sequence(F.lit(1), n.cast("int")))).drop("_i", count_col)
-
-    if key is not None and not heavy:
-        return in_place(df)
-    is_heavy = F.coalesce(F.col(key).isin(list(heavy)) if key is not None else (n > chunk), F.lit(False))
-    light = in_place(df.filter(~is_heavy))
-    spread_chunks = (
-        df.filter(is_heavy)
-        .withColumn("_c", F.explode(F.sequence(F.lit(0), ((n - 1) / chunk).cast("long"))))
-        .repartition(df.sparkSession.sparkContext.defaultParallelism)
-        .withColumn("_i", F.explode(F.sequence(F.lit(1), F.least(F.lit(chunk).cast("long"), n - F.col("_c") * chunk).cast("int"))))
-        .drop("_c", "_i", count_col)
-    )
-    return light.unionByName(spread_chunks)
+    A row is first cut into chunks of ``chunk`` copies by its own count, the
+    chunks are dealt out by (key, chunk), and each is expanded where it lands;
+    so no task expands a heavy key alone, and no list of keys is needed."""
+    n, c = F.col(count_col), F.col("_c")
+    chunks = df.withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / chunk))))
+    # A given number of partitions: adaptive execution would merge them by their
+    # size before the copies are made.
+    session = df.sparkSession
+    parts = max(session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
+    chunks = chunks.repartition(parts, key, "_c")
+    copies = F.sequence(F.lit(1).cast("long"), F.least(F.lit(chunk).cast("long"), n - c * chunk))
+    return chunks.withColumn("_i", F.explode(copies)).drop("_c", "_i", count_col)

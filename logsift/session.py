@@ -66,6 +66,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         # context runs, so the scratch folder is kept under our own key.
         root = spark.conf.get(SCRATCH_CONF, None)
         if not root:
+            if sc is None or not sc.master.startswith("local["):
+                raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
             root = tempfile.mkdtemp(prefix="logsift-ckpt-")
             spark.conf.set(SCRATCH_CONF, root)
     if sc is not None and sc.getCheckpointDir() is None:

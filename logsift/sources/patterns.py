@@ -47,9 +47,6 @@ ERROR_REGEX_ID = "LOG_TYPE_ERROR"
 # Column limit of regex_id in the result store.
 MAX_REGEX_ID_LENGTH = 50
 
-# Catalogues are compiled into the plan; more entries than this is a data
-# set, not a catalogue, and is refused.
-MAX_CATALOGUE_SIZE = 2000
 
 _META = set(".^$*+?{}[]()|\\")
 
@@ -106,7 +103,7 @@ class Pattern:
                         cur.append(nxt)
                     i += 2
                     continue
-                if nxt in "xuc0pPkNQE" or not nxt:
+                if nxt in "xuc0pPkNQE" or not nxt or nxt.isdigit():
                     return None
                 cut()  # a class (\\d, \\s, ...) or an anchor (\\b)
                 i += 2
@@ -119,6 +116,8 @@ class Pattern:
                 if j < len(p) and p[j] == "]":
                     j += 1
                 while j < len(p) and p[j] != "]":
+                    if p[j] == "[" or p.startswith("&&", j):
+                        return None  # nested or intersected class
                     j += 2 if p[j] == "\\" else 1
                 i = j + 1
                 continue
@@ -185,8 +184,6 @@ def catalogue(entries=None) -> list[Pattern]:
 
 
 def validate(patterns: list[Pattern]) -> None:
-    if len(patterns) > MAX_CATALOGUE_SIZE:
-        raise CatalogueError(f"catalogue has {len(patterns)} entries, limit {MAX_CATALOGUE_SIZE}")
     for p in patterns:
         if not p.regex_id:
             raise CatalogueError(f"pattern without an id: {p!r}")
@@ -226,11 +223,12 @@ def grouped(patterns: list[Pattern]) -> list[tuple[str, list[Pattern]]]:
 
 
 def from_frame(df: DataFrame, id_col: str = "regexId", pattern_col: str = "pattern") -> list[Pattern]:
-    """A catalogue held as a table. Its size is checked before it reaches the
-    driver; the catalogue is compiled into the plan, so it must stay small."""
-    rows = df.select(id_col, pattern_col).limit(MAX_CATALOGUE_SIZE + 1).collect()
-    if len(rows) > MAX_CATALOGUE_SIZE:
-        raise CatalogueError(f"catalogue table has more than {MAX_CATALOGUE_SIZE} rows")
+    """A catalogue held as a table, in the order of its ``position`` column
+    where there is one. The catalogue is compiled into the plan, so all of it
+    passes through the driver, whatever its length."""
+    if "position" in df.columns:
+        df = df.orderBy("position")
+    rows = df.select(id_col, pattern_col).collect()
     return catalogue([(r[0], r[1]) for r in rows])
 
 

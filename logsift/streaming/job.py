@@ -6,8 +6,8 @@
 Delivery. The reference writes each batch to Kafka (at least once) and
 silently drops a batch when its lookup fails. Here a failed store read fails
 the batch, so Spark retries it from the checkpointed offsets, and the table
-sink overwrites the batch's own ``batch_id`` partition, so a replayed batch
-replaces its earlier output instead of duplicating it. Ids missing from the
+sink overwrites the batch's own ``batch_id`` folder, so a replayed batch
+replaces its earlier output instead of duplicating it, with nothing too. Ids missing from the
 store go to a quarantine table instead of vanishing.
 
 The store is read again inside every batch (``store_loader``): a Parquet
@@ -21,13 +21,14 @@ from __future__ import annotations
 
 import logging
 import os
+from collections import deque
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.joins import MAX_BROADCAST_KEYS
 from ..operators.lookup import decode_events
+from ..operators.matching import match_lines
 from ..operators.payload import kafka_payload
 from ..plans.micro_batch import process_ids
 from ..session import scratch_path
@@ -36,6 +37,8 @@ from ..sources.stores import StoreTable
 log = logging.getLogger(__name__)
 
 DEFAULT_TRIGGER = "30 seconds"
+# Batches whose counts the writer remembers.
+HISTORY = 1000
 
 
 def kafka_events(
@@ -76,17 +79,15 @@ def write_kafka(matches: DataFrame, brokers: str, topic: str) -> None:
 
 
 def write_partition(df: DataFrame, path: str, batch_id: int) -> None:
-    """Overwrite this batch's partition only (idempotent on replay). The
-    rebalance lets adaptive execution size the files (no file per task for a
-    small batch, no huge task for a skewed one)."""
-    (
-        df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        .hint("rebalance")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(path)
-    )
+    """Overwrite this batch's folder (idempotent on replay: a replay without
+    rows leaves an empty folder, not the rows of before). The rebalance lets
+    adaptive execution size the files (no file per task for a small batch, no
+    huge task for a skewed one)."""
+    df.hint("rebalance").write.mode("overwrite").parquet(batch_path(path, batch_id))
+
+
+def batch_path(path: str, batch_id: int) -> str:
+    return f"{path.rstrip('/')}/batch_id={batch_id}"
 
 
 class MatchBatchWriter:
@@ -109,7 +110,8 @@ class MatchBatchWriter:
         self.patterns = patterns
         self.kafka = kafka
         self.max_broadcast_keys = max_broadcast_keys
-        self.history: list[dict] = []
+        self.wrote = False
+        self.history: deque[dict] = deque(maxlen=HISTORY)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         # The id batch is read several times (key count, semi-join, missing
@@ -125,13 +127,14 @@ class MatchBatchWriter:
             )
             # The match plan runs once, into the table sink; Kafka (if any)
             # re-reads the written partition rather than re-matching.
+            self.wrote = True
             write_partition(out.matches, self.results_path, batch_id)
             write_partition(out.not_found, self.not_found_path, batch_id)
             metrics = out.metrics()
             n = metrics.get("matches", 0)
             if self.kafka and n > 0:
-                written = batch.sparkSession.read.parquet(self.results_path).filter(F.col("batch_id") == batch_id)
-                write_kafka(written.drop("batch_id"), *self.kafka)
+                written = batch.sparkSession.read.schema(out.matches.schema).parquet(batch_path(self.results_path, batch_id))
+                write_kafka(written, *self.kafka)
             self.history.append({"batch_id": batch_id, **metrics})
             log.info("batch %s: %s", batch_id, metrics)
         finally:
@@ -177,6 +180,7 @@ def run_to_completion(
     if exc is not None:
         raise exc
     results_path = os.path.join(base, "results")
-    if not writer.history:
-        return None, writer, base
+    if not writer.wrote:
+        none = spark.createDataFrame([], "log_id string, content string")
+        return match_lines(none, patterns), writer, base
     return spark.read.parquet(results_path).drop("batch_id"), writer, base

@@ -90,3 +90,23 @@ def test_match_implies_required_literal(s):
         req = P.Pattern("X", pat).required_literal()
         if req is not None and re.search(pat, s):
             assert req in s, (pat, req, s)
+
+
+def test_no_required_literal_behind_nested_classes_and_references():
+    for pat in (r"[a-z&&[^aeiou]]+", r"[a-c[x-z]]y", r"(a)(b)\1\2", r"(x)\10"):
+        assert P.Pattern("X", pat).required_literal() is None
+
+
+def test_class_intersection_matches_as_rlike(spark):
+    from logsift.functions.match import pattern_predicate
+
+    lines = spark.createDataFrame([("xyz ok",), ("aeiou",), ("",), ("]",)], "line string")
+    p = P.Pattern("CONSONANTS", r"[a-z&&[^aeiou]]+")
+    got = lines.select("line", pattern_predicate("line", p).alias("a"), F.col("line").rlike(p.pattern).alias("b")).collect()
+    assert all(r.a == r.b for r in got) and sum(r.a for r in got) == 1
+
+
+def test_catalogue_table_keeps_its_order_whatever_its_length(spark):
+    many = P.catalogue([(f"ID{i:04d}", f"text {i}") for i in range(2500)])
+    frame = P.to_frame(spark, many).orderBy(F.desc("position"))
+    assert P.from_frame(frame) == many

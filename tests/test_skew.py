@@ -60,7 +60,7 @@ def test_expand_counts_spreads_heavy_rows(spark):
     from logsift.operators import skew
 
     df = spark.createDataFrame([("hot", 2500), ("a", 3), ("b", 1), (None, 2)], "k string, n long")
-    out = skew.expand_counts(df, "n", "k", skew.hot_keys(df.select(F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("i"), "k"), "k", hot_key_rows=100), chunk=100)
+    out = skew.expand_counts(df, "n", "k", chunk=100)
     got = {r.k: r.c for r in out.groupBy("k").agg(F.count(F.lit(1)).alias("c")).collect()}
     assert got == {"hot": 2500, "a": 3, "b": 1, None: 2}
     per_task = out.filter(F.col("k") == "hot").groupBy(F.spark_partition_id().alias("p")).count().collect()
@@ -140,3 +140,10 @@ def test_hot_bucket_append_is_split(spark, tmp_path):
     files = [f for f in os.listdir(tmp_path / "res" / f"bucket={hot_bucket}") if f.endswith(".parquet")]
     assert len(files) > 1
     assert table.read(spark).count() == 40000
+
+
+def test_no_heavy_key_is_left_out(spark):
+    from logsift.operators import skew
+
+    df = spark.range(4500).select((F.col("id") % 1500).alias("k"))
+    assert len(skew.hot_keys(df, "k", hot_key_rows=2)) == 1500

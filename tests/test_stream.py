@@ -181,3 +181,37 @@ def test_empty_batch_does_no_work(spark, tmp_path):
     writer(spark.createDataFrame([], "log_id string"), 3)
     assert writer.history == [{"batch_id": 3, "found": 0, "cleaned_lines": 0, "matches": 0}]
     assert not os.path.exists(tmp_path / "r")
+
+
+def test_replay_without_rows_clears_the_batch(spark, tmp_path):
+    import os
+
+    from logsift.streaming import job
+
+    logs = spark.createDataFrame([("a", "[ERROR] broken")], "log_id string, content string")
+    empty = logs.limit(0)
+    store = [empty]
+    writer = job.MatchBatchWriter(lambda: store[0], str(tmp_path / "r"), str(tmp_path / "n"))
+    batch = spark.createDataFrame([("a",)], "log_id string")
+
+    def rows(name):
+        return [x.log_id for x in spark.read.parquet(os.path.join(str(tmp_path), name)).collect()]
+
+    writer(batch, 5)
+    assert (rows("r"), rows("n")) == ([], ["a"])
+    store[0] = logs
+    writer(batch, 5)
+    assert set(rows("r")) == {"a"} and rows("n") == []
+    store[0] = empty
+    writer(batch, 5)
+    assert (rows("r"), rows("n")) == ([], ["a"])
+
+
+def test_stream_without_matches_returns_an_empty_frame(spark, tmp_path):
+    from logsift.streaming import job
+
+    path = str(tmp_path / "events")
+    spark.createDataFrame([("not json",)], "value string").write.text(path)
+    events = job.file_events(spark, path, "value string", fmt="text")
+    out, writer, _ = job.run_to_completion(spark, events, lambda: None, base=str(tmp_path / "out"))
+    assert out.count() == 0 and "regexId" in out.columns
