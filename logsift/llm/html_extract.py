@@ -33,7 +33,7 @@ MOST, TAG = 3.0, -0.05
 #: Weight of words in a container that no labelled page has.
 UNKNOWN = 1.0
 #: What a left-out subtree costs.
-GAP = -0.5
+GAP = -0.1
 
 # Elements of HTML by their part in a page.
 DROPPED = set(
