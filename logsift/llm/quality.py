@@ -20,7 +20,6 @@ source with a third of all documents sends a few numbers from each task.
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -121,27 +120,26 @@ def _transformed(rows: DataFrame) -> DataFrame:
 
 def _factored(estimate: DataFrame) -> DataFrame:
     """Inverse of the Cholesky factor as columns w_i_j, so that a distance is a
-    few products; computed once a group."""
-    out = estimate
+    few products; computed once a group. Each column may name those before it.
+    The arithmetic of this module is SQL text, as thousands of small Column
+    objects would take longer to build than a small table takes to judge."""
+    steps = []
     for i in range(D):
         for j in range(i + 1):
-            rest = F.col(f"c_{i}_{j}")
-            for k in range(j):
-                rest = rest - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
-            out = out.withColumn(f"l_{i}_{j}", F.sqrt(rest) if i == j else rest / F.col(f"l_{j}_{j}"))
+            rest = f"c_{i}_{j}" + "".join(f" - l_{i}_{k} * l_{j}_{k}" for k in range(j))
+            steps.append((f"sqrt({rest})" if i == j else f"({rest}) / l_{j}_{j}") + f" AS l_{i}_{j}")
     for j in range(D):
         for i in range(j, D):
-            rest = F.lit(1.0 if i == j else 0.0)
-            for k in range(j, i):
-                rest = rest - F.col(f"l_{i}_{k}") * F.col(f"w_{k}_{j}")
-            out = out.withColumn(f"w_{i}_{j}", rest / F.col(f"l_{i}_{i}"))
+            rest = ("1D" if i == j else "0D") + "".join(f" - l_{i}_{k} * w_{k}_{j}" for k in range(j, i))
+            steps.append(f"({rest}) / l_{i}_{i} AS w_{i}_{j}")
+    out = estimate.selectExpr("*", *steps)
     return out.select("pool", *[f"m_{i}" for i in range(D)], *[f"w_{i}_{j}" for i, j in PAIRS])
 
 
 def _distance() -> Column:
-    x = [F.col(f"z_{s}") - F.col(f"m_{i}") for i, s in enumerate(STATS)]
-    away = [reduce(lambda a, b: a + b, [F.col(f"w_{i}_{j}") * x[j] for j in range(i + 1)]) for i in range(D)]
-    return reduce(lambda a, b: a + b, [a * a for a in away])
+    x = [f"(z_{s} - m_{i})" for i, s in enumerate(STATS)]
+    away = [" + ".join(f"w_{i}_{j} * {x[j]}" for j in range(i + 1)) for i in range(D)]
+    return F.expr(" + ".join(f"({a}) * ({a})" for a in away))
 
 
 def _level(distance: Column) -> Column:
@@ -152,27 +150,25 @@ def _level(distance: Column) -> Column:
 
 def _estimate(rows: DataFrame, factor: float) -> DataFrame:
     """Centre and covariance of each pool from exact sums."""
-    z = [F.col(f"z_{s}") for s in STATS]
-    sums = [F.sum(x).alias(f"s_{i}") for i, x in enumerate(z)]
-    sums += [F.sum((z[i] * z[j]).cast("decimal(28,0)")).cast("double").alias(f"s_{i}_{j}") for i, j in PAIRS]
-    out = rows.groupBy("pool").agg(F.count("*").alias("n"), *sums)
-    out = out.withColumns({f"m_{i}": F.col(f"s_{i}") / F.col("n") for i in range(D)})
-    floor = [(FLOORS[s] * UNIT) ** 2 for s in STATS]
-    cov = lambda i, j: (F.col(f"s_{i}_{j}") / F.col("n") - F.col(f"m_{i}") * F.col(f"m_{j}")) * factor
+    sums = [f"sum(z_{s}) AS s_{i}" for i, s in enumerate(STATS)]
+    sums += [f"cast(sum(cast(z_{STATS[i]} * z_{STATS[j]} AS decimal(28,0))) AS double) AS s_{i}_{j}" for i, j in PAIRS]
+    out = rows.groupBy("pool").agg(*map(F.expr, ["count(*) AS n", *sums]))
+    cov = {(i, j): f"(s_{i}_{j} / n - m_{i} * m_{j}) * {factor!r}D" for i, j in PAIRS}
     # The variance of a constant can come out a little under 0 in floating point.
-    return _factored(
-        out.withColumns({f"c_{i}_{j}": F.greatest(cov(i, j), F.lit(0.0)) + floor[i] if i == j else cov(i, j) for i, j in PAIRS})
-    )
+    cov |= {(i, i): f"greatest({cov[i, i]}, 0D) + {(FLOORS[s] * UNIT) ** 2!r}D" for i, s in enumerate(STATS)}
+    means = [f"s_{i} / n AS m_{i}" for i in range(D)]
+    return _factored(out.selectExpr("*", *means, *[f"{c} AS c_{i}_{j}" for (i, j), c in cov.items()]))
 
 
 def _start(rows: DataFrame) -> DataFrame:
     """Medians, and median deviations as a diagonal covariance."""
-    centre = rows.groupBy("pool").agg(*[F.percentile(f"z_{s}", F.lit(0.5)).alias(f"m_{i}") for i, s in enumerate(STATS)])
-    away = [F.percentile(F.abs(F.col(f"z_{s}") - F.col(f"m_{i}")), F.lit(0.5)).alias(f"a_{i}") for i, s in enumerate(STATS)]
-    spread = rows.join(centre, "pool").groupBy("pool").agg(*away, *[F.first(f"m_{i}").alias(f"m_{i}") for i in range(D)])
-    floor = [(FLOORS[s] * UNIT) ** 2 for s in STATS]
-    variance = {f"c_{i}_{i}": F.pow(F.col(f"a_{i}") * 1.4826, F.lit(2.0)) + floor[i] for i in range(D)}
-    return _factored(spread.withColumns(variance | {f"c_{i}_{j}": F.lit(0.0) for i, j in PAIRS if i != j}))
+    centre = rows.groupBy("pool").agg(*[F.expr(f"percentile(z_{s}, 0.5D) AS m_{i}") for i, s in enumerate(STATS)])
+    away = [f"percentile(abs(z_{s} - m_{i}), 0.5D) AS a_{i}" for i, s in enumerate(STATS)]
+    away += [f"first(m_{i}) AS m_{i}" for i in range(D)]
+    spread = rows.join(centre, "pool").groupBy("pool").agg(*map(F.expr, away))
+    cov = {(i, j): "0D" for i, j in PAIRS}
+    cov |= {(i, i): f"pow(a_{i} * 1.4826D, 2D) + {(FLOORS[s] * UNIT) ** 2!r}D" for i, s in enumerate(STATS)}
+    return _factored(spread.selectExpr("*", *[f"{c} AS c_{i}_{j}" for (i, j), c in cov.items()]))
 
 
 def estimates(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
