@@ -63,11 +63,11 @@ class Codec:
         vocab = spec["model"]["vocab"]
         symbols = byte_symbols()
         self.first = [vocab[s] for s in symbols]
-        #: left id and right id in one number -> rank; rank -> joined id
-        self.ranks, self.joined = {}, []
+        #: by left id: right id -> rank; rank -> joined id
+        self.ranks, self.joined = [{} for _ in range(max(vocab.values()) + 1)], []
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.ranks[vocab[a] << 32 | vocab[b]] = rank
+            self.ranks[vocab[a]][vocab[b]] = rank
             self.joined.append(vocab[a + b])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         order = sorted(self.special, key=len, reverse=True)
@@ -89,7 +89,7 @@ class Codec:
         # rank and then from left to right.
         queue = []
         for i in range(n - 1):
-            rank = ranks.get(ids[i] << 32 | ids[i + 1])
+            rank = ranks[ids[i]].get(ids[i + 1])
             if rank is not None:
                 queue.append(rank * n + i)
         if queue:
@@ -98,19 +98,19 @@ class Codec:
             while queue:
                 rank, i = divmod(heappop(queue), n)
                 a, j = ids[i], right[i]
-                if a < 0 or j < 0 or ranks.get(a << 32 | ids[j]) != rank:
+                if a < 0 or j < 0 or ranks[a].get(ids[j]) != rank:
                     continue  # stale: an end was joined with something else
                 ids[i] = a = joined[rank]
                 ids[j] = -1
                 right[i] = k = right[j]
                 if k >= 0:
                     left[k] = i
-                    rank = ranks.get(a << 32 | ids[k])
+                    rank = ranks[a].get(ids[k])
                     if rank is not None:
                         heappush(queue, rank * n + i)
                 h = left[i]
                 if h >= 0:
-                    rank = ranks.get(ids[h] << 32 | a)
+                    rank = ranks[ids[h]].get(a)
                     if rank is not None:
                         heappush(queue, rank * n + h)
             ids = [x for x in ids if x >= 0]
