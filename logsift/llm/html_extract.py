@@ -169,7 +169,11 @@ def count_odds(page: str) -> Counter:
 def weights(pages: DataFrame) -> dict:
     """Log odds by (kind, name) from the labelled pages of ``pages``."""
     marked = F.regexp_count("html", F.lit(r"(?i)<(article|main)[\s>]")) == 1
-    sample = pages.where(marked).select("html", F.xxhash64("page_id", "html").alias("h")).orderBy("h").limit(LABELLED_PAGES)
+    labelled = pages.where(marked).select("html", F.xxhash64("page_id", "html").alias("h"))
+    # Only hashes are sorted; pages move once the highest wanted hash is known.
+    highest = labelled.select("h").orderBy("h").limit(LABELLED_PAGES).agg(F.max("h")).first()[0]
+    wanted = F.col("h") <= F.lit(highest).cast("long")
+    sample = labelled.where(wanted).groupBy("h").agg(F.first("html").alias("html"))
 
     def run(batches):
         for b in batches:
