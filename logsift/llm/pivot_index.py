@@ -2,13 +2,23 @@
 
 A vector is described by its ``NEAREST`` nearest reference points (pivots), in
 order. Inverted lists by label and pivot hold the vectors that have the pivot
-in their description; two vectors of a list are a candidate if they share
-``SHARED`` pivots, and a candidate is verified by its cosine. A pair is looked
-at in the list of its first shared pivot only, so every link counts once.
+in their description; any two vectors of a list are verified by their cosine. A
+pair is looked at in the list of its first shared pivot only, so every link
+counts once.
+
+Pivots are drawn from the vectors by a hash; their number is at most about the
+square root of the number of vectors, between ``LEAST_PIVOTS`` and
+``MOST_PIVOTS`` (this is the bounded sample), which keeps lists short as the
+table grows. A vector closer than ``APART`` to a pivot is passed over, so a large
+group of noisy copies holds one pivot or a few, which all its members share.
+
+A vector y with the nearest pivot q can have a link to a vector whose nearest
+pivot is p only if y is within the link's angle of the half space that is nearer
+to p than to q. Where no pivot outside the description meets this bound, the
+description is cut to those that do, and every link of y is found for certain.
+Where more do (vectors far from all pivots), both ends of a link must share one
+of their ``NEAREST`` pivots.
 
-Pivots are drawn from the vectors by a hash; their number is about the square
-root of the number of vectors, between ``LEAST_PIVOTS`` and ``MOST_PIVOTS``
-(this is the bounded sample), which keeps lists short as the table grows.
 Every vector is indexed. Lists are compared in blocks of ``BLOCK`` by matrix
 products; a block pair gives link counts by vector and a spanning forest of its
 links, not the pairs. Equal vectors of one label are one member with a count.
@@ -26,8 +36,10 @@ from logsift.llm.components import components
 
 THRESHOLD = 0.93
 NEAREST = 8
-SHARED = 2
 LEAST_PIVOTS, MOST_PIVOTS = 64, 2048
+#: Largest cosine of two pivots, and vectors looked at for each pivot wanted.
+APART = 0.8
+LOOKED_AT = 4
 BLOCK = 512
 NONE = np.iinfo(np.int64).max
 
@@ -45,12 +57,33 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
-def describe(unit: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """Numbers of the nearest pivots, nearest first."""
+def spread(unit: np.ndarray, wanted: int) -> np.ndarray:
+    """The first ``wanted`` rows that are not within ``APART`` of one before."""
+    chosen = np.empty((min(wanted, len(unit)), unit.shape[1]))
+    n = 0
+    for u in unit:
+        if n == len(chosen):
+            break
+        if n == 0 or (chosen[:n] @ u).max() < APART:
+            chosen[n] = u
+            n += 1
+    return chosen[:n]
+
+
+def describe(unit: np.ndarray, pivots: np.ndarray) -> list[np.ndarray]:
+    """Numbers of the nearest pivots of each row, nearest first."""
     near = unit @ pivots.T
     k = min(NEAREST, near.shape[1])
     top = np.argpartition(-near, k - 1, axis=1)[:, :k]
-    return np.take_along_axis(top, np.argsort(-np.take_along_axis(near, top, 1), axis=1, kind="stable"), 1)
+    top = np.take_along_axis(top, np.argsort(-np.take_along_axis(near, top, 1), axis=1, kind="stable"), 1)
+    # Sine of the angle to the half space nearer to a pivot than to the nearest.
+    first = top[:, 0]
+    apart = np.sqrt(np.maximum(2 - 2 * (pivots @ pivots.T)[first], 1e-12))
+    away = (near[np.arange(len(unit)), first][:, None] - near) / apart
+    possible = away <= np.sqrt(1 - THRESHOLD**2) + 1e-9
+    own = np.take_along_axis(possible, top, 1)
+    whole = own.sum(1) == possible.sum(1)
+    return [t[o] if w else t for t, o, w in zip(top, own, whole, strict=True)]
 
 
 def _indexed(members: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
@@ -66,8 +99,9 @@ def _indexed(members: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
             for size, some in by_size.items():
                 unit = _unit(np.array([e for _, e in some], dtype=np.float64))
                 # Vectors of a size without pivots share one list.
-                order = describe(unit, pivots[size]) if size in pivots else np.full((len(some), 1), -1)
-                for (k, _), u, o in zip(some, unit, order.astype("<i4"), strict=True):
+                order = describe(unit, pivots[size]) if size in pivots else [np.array([-1])] * len(some)
+                for (k, _), u, o in zip(some, unit, order, strict=True):
+                    o = o.astype("<i4")
                     rows += [(label[k], size, p, rep[k], count[k], u.tobytes(), o.tobytes()) for p in o.tolist()]
             cols = list(zip(*rows, strict=True)) or [()] * 7
             kinds = (b.schema.field("label").type, pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
@@ -78,21 +112,23 @@ def _indexed(members: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
     return members.mapInArrow(run, f"label {kind}, size int, pivot int, rep long, count long, unit binary, pivots binary")
 
 
-def _incidence(order: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+def _incidence(order: list[np.ndarray], numbers: np.ndarray) -> np.ndarray:
+    """A row for each description: 1 where it holds one of ``numbers``."""
     out = np.zeros((len(order), len(numbers)), dtype=np.float32)
-    np.put_along_axis(out, np.searchsorted(numbers, order), 1, 1)
+    row, flat = np.repeat(np.arange(len(order)), [len(o) for o in order]), np.concatenate(order)
+    held = np.isin(flat, numbers)
+    out[row[held], np.searchsorted(numbers, flat[held])] = 1
     return out
 
 
 def _linked(a: dict, b: dict, pivot: int, same: bool) -> np.ndarray:
     """Which members of block a link with which of block b, by their pairs that
     have ``pivot`` as their first shared pivot."""
-    numbers = np.unique(np.concatenate((a["order"].ravel(), b["order"].ravel())))
-    ia, ib = _incidence(a["order"], numbers), _incidence(b["order"], numbers)
-    shared = ia @ ib.T
-    lower = numbers < pivot
-    near = (shared >= min(SHARED, a["order"].shape[1])) & ((ia[:, lower] @ ib[:, lower].T) == 0)
-    near &= a["unit"] @ b["unit"].T >= THRESHOLD
+    near = a["unit"] @ b["unit"].T >= THRESHOLD
+    lower = np.intersect1d(np.concatenate(a["order"]), np.concatenate(b["order"]))
+    lower = lower[lower < pivot]
+    if len(lower) and near.any():
+        near &= (_incidence(a["order"], lower) @ _incidence(b["order"], lower).T) == 0
     if same:
         np.fill_diagonal(near, False)
     return near
@@ -123,7 +159,7 @@ def _links(lists: DataFrame) -> DataFrame:
             "rep": np.array([r["rep"] for r in rows], dtype=np.int64),
             "count": np.array([r["count"] for r in rows], dtype=np.int64),
             "unit": np.stack([np.frombuffer(r["unit"]) for r in rows]),
-            "order": np.stack([np.frombuffer(r["pivots"], "<i4") for r in rows]),
+            "order": [np.frombuffer(r["pivots"], "<i4") for r in rows],
         }
 
     def run(batches):
@@ -181,11 +217,11 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     members = materialise(members, "members")
     n = members.count()
     wanted = min(MOST_PIVOTS, max(LEAST_PIVOTS, 1 << (max(n, 1).bit_length() // 2)))
-    sample = members.select("rep", "embedding").orderBy(F.xxhash64("rep"), "rep").limit(wanted).collect()
+    sample = members.select("embedding").orderBy(F.xxhash64("rep"), "rep").limit(wanted * LOOKED_AT).toArrow()
     by_size: dict[int, list] = {}
-    for r in sample:
-        by_size.setdefault(len(r["embedding"]), []).append(r["embedding"])
-    pivots = {size: _unit(np.array(v, dtype=np.float64)) for size, v in by_size.items()}
+    for e in sample.column("embedding"):
+        by_size.setdefault(len(e), []).append(e.values.to_numpy(zero_copy_only=False))
+    pivots = {size: spread(_unit(np.array(v, dtype=np.float64)), wanted) for size, v in by_size.items()}
     found = materialise(_links(_indexed(members, pivots)), "links")
     links = found.groupBy("u").agg(F.sum("n").alias("links"))
     roots = components(found, "u", "v")

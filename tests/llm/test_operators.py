@@ -8,6 +8,8 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
+import pytest
 import xxhash
 
 from logsift.llm import bpe, chat, html_extract, mixing, pivot_index, quality, repeats, simhash, token_store, url_rules
@@ -175,6 +177,23 @@ def test_embeddings(spark):
     assert pivot_index.near_duplicates(frame.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("n", [3000, 24000])
+def test_embeddings_of_a_large_noisy_group(spark, n):
+    rnd = np.random.default_rng(7)
+    group, dims = n // 3, 64
+    centre = rnd.normal(size=dims)
+    noise = rnd.normal(size=(group, dims)) * np.linalg.norm(centre) / 8 * (1 / 0.95 - 1) ** 0.5  # cosines about 0.95
+    vectors = np.concatenate((centre + noise, rnd.normal(size=(n - group, dims)))).astype("f4")
+    vectors[group + 1 :: 10] = vectors[group::10][: len(vectors[group + 1 :: 10])] * 0.9 + vectors[group + 1 :: 10] * 0.25
+    unit = vectors.astype("f8") / np.linalg.norm(vectors.astype("f8"), axis=1, keepdims=True)
+    count = np.concatenate([(unit[k : k + 1000] @ unit.T >= 0.93).sum(1) - 1 for k in range(0, n, 1000)])
+    frame = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(n), "embedding": list(vectors), "label": np.zeros(n, "i4")}))
+    got = {r.vec_id: r.n_links for r in pivot_index.near_duplicates(frame).select("vec_id", "n_links").collect()}
+    links = np.array([got[k] for k in range(n)])
+    assert (links <= count).all() and (links[:group] == count[:group]).all()
+    assert links[group:].sum() >= 0.99 * count[group:].sum() > 0
+
+
 def test_urls_and_pages(spark):
     urls = ["HTTP://A.Example.NET/en/x", "http://x.net/en/", "https://example.com/de/1#x", "ftp://q.org/fr/?a=b", "x", None]
     urls += [f"http://shop-{k % 7}.example.com/en/pills/{k}" for k in range(60)] + [f"http://good.example.com/en/{k}" for k in range(60)]
