@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logsift.llm.common import materialise, small_batches
+from logsift.llm.common import materialise, small_batches, text_of
 from logsift.llm.components import components
 
 WORDS = 3
@@ -60,17 +60,19 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS, text: str = "text") -> DataFrame:
-    """(doc_id, fp) of every row, fp as a signed 64-bit number. Null and empty
-    texts have fingerprint 0."""
+def fingerprints(docs: DataFrame, words: int = WORDS, text: str = "text", key: str | None = None) -> DataFrame:
+    """(doc_id, fp) of every row, and the string column ``key`` if one is named;
+    fp as a signed 64-bit number. Null and empty texts have fingerprint 0."""
     small_batches(docs.sparkSession)
+    more = [key] if key else []
 
     def run(batches):
         for b in batches:
             fps = np.array([fingerprint(t, words) for t in b.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            columns = [b.column(0), pa.array(fps.view(np.int64)), *(b.column(c) for c in more)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "fp", *more])
 
-    return docs.select("doc_id", text).mapInArrow(run, "doc_id long, fp long")
+    return docs.select("doc_id", text, *more).mapInArrow(run, ", ".join(["doc_id long, fp long", *(f"{c} string" for c in more)]))
 
 
 def _quarters(fp: str) -> list[Column]:
@@ -146,6 +148,18 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     return pairs.select("fps", "others").mapInPandas(run, "u long, v long")
 
 
+def _named(fps: DataFrame, radius: int) -> DataFrame:
+    """(fp, root, component_id) of every fingerprint: the smallest fingerprint
+    and the smallest doc_id of its component."""
+    distinct = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    roots = components(links(distinct.select("fp"), radius))
+    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return materialise(rooted.join(least, "root").select("fp", "root", "component_id"), "named")
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row of ``docs``.
 
@@ -156,25 +170,23 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -
     a component without any doc_id has component_id null.
     """
     fps = materialise(fingerprints(docs, words), "fingerprints")
-    distinct = materialise(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = components(links(distinct.select("fp"), radius))
-    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = materialise(rooted.join(least, "root").select("fp", "component_id"), "named")
+    named = _named(fps, radius)
     return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest
-    doc_id (of repeated rows with that doc_id, the first by text). Where a
-    component has no doc_id, a row with null doc_id stays."""
-    found = near_duplicates(docs, words, radius)
-    chosen = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["doc_id"]), "left_semi")
-    # Repeated doc_ids: one row each, chosen without collecting them.
-    once = kept.groupBy("doc_id").agg(F.min(F.struct(*[F.col(c) for c in ordered(kept)])).alias("row"))
+    doc_id (of the component's rows with that doc_id, the first by text). Where
+    a component has no doc_id, its first row by text stays."""
+    # doc_id and text tell a row's component; a doc_id alone, null or repeated, does not.
+    key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("\n"), text_of()))
+    keyed = docs.withColumn("k_key", key)
+    fps = materialise(fingerprints(keyed, words, key="k_key"), "fingerprints")
+    found = fps.join(_named(fps, radius), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # Written, so that rows with one doc_id and text can be split in the join.
+    chosen = materialise(found.select("k_key", F.col("root").alias("k_root")).distinct(), "chosen")
+    kept = keyed.join(chosen, "k_key")
+    once = kept.groupBy("k_root").agg(F.min(F.struct(*[F.col(c) for c in ordered(docs)])).alias("row"))
     return once.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 

@@ -94,6 +94,18 @@ def test_simhash(spark):
     assert simhash.near_duplicates(frame.limit(0)).collect() == []
 
 
+def test_keep_one_of_each_component(spark):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(80))
+    docs = [(None, text(k), "en", "s0") for k in range(20)] + [(None, text(0), "en", "s0")] * 3
+    docs += [(5, text(30), "en", "s0"), (5, text(31), "en", "s0")]  # two components named 5
+    docs += [(7, text(40), "en", "s0"), (7, text(41), "en", "s0"), (6, text(41), "en", "s1")]  # one of 7's belongs to 6
+    docs += [(None, text(50), "en", "s0"), (9, text(50), "en", "s0"), (8, None, "en", "s0"), (None, "", "en", "s0")]
+    expected = docs[:20] + docs[23:26] + [docs[27], docs[29], docs[30]]
+    frame = spark.createDataFrame(docs, DOCS)
+    assert key(map(tuple, simhash.keep_one(frame).collect())) == key(expected)
+    assert simhash.keep_one(frame.limit(0)).collect() == []
+
+
 def test_token_store_round_trip(spark):
     docs = documents()
     rows = token_store.offsets(spark, spark.createDataFrame(docs, DOCS)).collect()
