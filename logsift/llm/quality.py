@@ -29,7 +29,8 @@ from logsift.llm.common import WORD_SPACE, materialise, text_of
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-SHARE = 0.75
+#: Half of a group, so that junk must reach half of it to move its estimate.
+SHARE = 0.5
 STEPS = 5
 #: Groups with fewer documents that pass the base rules are estimated together,
 #: by language, and languages with fewer all together.

@@ -133,6 +133,19 @@ def test_quality_counts_and_edges(spark):
     assert quality.verdicts(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def test_quality_of_a_group_with_a_third_of_junk(spark):
+    rnd = random.Random(11)
+
+    def words(n):
+        return ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(3, 8))) for _ in range(n)]
+
+    rows = [(k, " ".join(words(rnd.randint(60, 90))), "en", "x") for k in range(400)]
+    rows += [(k, " ".join(w + " #*" * (i % 2) for i, w in enumerate(words(70))), "en", "x") for k in range(400, 600)]
+    got = {r.doc_id: r for r in quality.verdicts(spark.createDataFrame(rows, DOCS)).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert [k for k in range(600) if got[k].kept != (k < 400)] == []
+
+
 def test_mixing_deviates_less_than_a_block(spark):
     docs = [(k, None, None, "hot" if k % 3 else f"s{k % 4}") for k in range(600)] + [(None, None, None, None)] * 3
     rows = mixing.positions(spark.createDataFrame(docs, DOCS)).collect()
