@@ -8,7 +8,10 @@ sum to 1, every block lies inside its window, so after any number of slots
 every source has its weight's share of them to within less than one block.
 
 All sources are back in step after T slots, so T slots are worked out and every
-further block follows by arithmetic. DataFrame functions only.
+further block follows by arithmetic. DataFrame functions only. The default
+weights are rounded to 1 / T. Given targets are not: T is so large that the
+weights follow them to within ``1 / FINE`` of a block over the whole mix, and
+the slots of the mix are worked out.
 
 The mix goes on until every source has been laid out whole. A source that is
 short of its weight starts anew with its first block (``epoch`` counts), so no
@@ -30,6 +33,10 @@ BLOCK_DOCS = 16
 #: Slots after which the schedule repeats; weights are multiples of 1 / T.
 #: With more than 1/20 as many sources, T is 20 times their number.
 SLOTS = 1000
+#: Slots of T for each slot of the mix, where targets are given.
+FINE = 1000
+#: Slots whose picks are added to the others at once.
+CHUNK = 1000
 #: Default target: a source's share of the documents to this power, normalised,
 #: which lifts small sources and lowers large ones.
 TEMPER = 0.7
@@ -38,63 +45,91 @@ RANGE_DIGITS = 3
 
 
 def _weights(sizes: DataFrame, targets: DataFrame | None) -> DataFrame:
-    """(source, n, b, w, t, idx): blocks b and whole weight w of t, at least 1."""
+    """(source, n, b, w, t, idx): blocks b and whole weight w of t, at least 1.
+    The default shares out what is left when every source has 1."""
     if targets is None:
         raw = sizes.withColumn("raw", F.pow(F.col("n").cast("double"), F.lit(TEMPER)))
     else:
         named = targets.groupBy(F.col("source").alias("of")).agg(F.max("weight").cast("double").alias("weight"))
         raw = sizes.join(named, F.col("source").eqNullSafe(F.col("of")), "left")
-        # A source without a target gets the least weight.
+        # A source without a target gets the least weight, 1 / T of the defaults.
         raw = raw.withColumn("raw", F.greatest(F.coalesce("weight", F.lit(0.0)), F.lit(0.0)))
     # One row a source from here on.
     every = Window.partitionBy()
     out = raw.withColumns({"s": F.count("*").over(every), "sum": F.sum("raw").over(Window.partitionBy().orderBy(F.col("source").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
     out = out.withColumn("t", F.greatest(F.lit(SLOTS), F.col("s") * 20).cast("int"))
-    ideal = F.when(F.col("sum") > 0, F.col("raw") / F.col("sum")).otherwise(1 / F.col("s")) * (F.col("t") - F.col("s"))
-    out = out.withColumn("ideal", ideal).withColumn("base", F.floor("ideal"))
+    out = out.withColumn("b", F.ceil(F.col("n") / BLOCK_DOCS)).withColumn("t", F.col("t").cast("long"))
+    share = F.when(F.col("sum") > 0, F.col("raw") / F.col("sum")).otherwise(1 / F.col("s"))
+    if targets is None:
+        out = out.withColumn("least", F.lit(1)).withColumn("ideal", share * (F.col("t") - F.col("s")))
+    else:
+        none = F.sum((share <= 0).cast("int")).over(every)
+        out = out.withColumn("least", F.lit(0))
+        out = out.withColumn("share", F.when(share > 0, share * (1 - none / F.col("t"))).otherwise(1 / F.col("t")))
+        rounded = F.max(F.abs(F.col("share") * F.col("t") - F.round(F.col("share") * F.col("t")))).over(every) > 1e-9
+        fine = F.ceil(F.max(F.col("b") / F.col("share")).over(every) * FINE)
+        out = out.withColumn("t", F.when(rounded, F.greatest(F.col("t"), fine)).otherwise(F.col("t")))
+        out = out.withColumn("ideal", F.col("share") * F.col("t"))
+    # A whole number may come out a little under itself.
+    out = out.withColumn("base", F.floor("ideal") if targets is None else F.floor(F.round("ideal", 6)))
     by_rest = Window.partitionBy().orderBy((F.col("base") - F.round("ideal", 9)), F.col("source").asc_nulls_first())
-    out = out.withColumns({"rest": F.row_number().over(by_rest), "given": F.sum("base").over(every)})
-    extra = (F.col("rest") <= F.col("t") - F.col("s") - F.col("given")).cast("int")
-    out = out.withColumn("w", (1 + F.col("base") + extra).cast("int"))
+    out = out.withColumns({"rest": F.row_number().over(by_rest), "given": F.sum(F.col("base") + F.col("least")).over(every)})
+    extra = (F.col("rest") <= F.col("t") - F.col("given")).cast("int")
+    out = out.withColumn("w", (F.col("least") + F.col("base") + extra).cast("long"))
     idx = F.row_number().over(Window.partitionBy().orderBy(F.col("source").asc_nulls_first())) - 1
-    return out.select("source", "n", F.ceil(F.col("n") / BLOCK_DOCS).alias("b"), "w", "t", idx.alias("idx"))
+    return out.select("source", "n", "b", "w", "t", idx.alias("idx"))
+
+
+def _div(a: Column, b: Column) -> Column:
+    return F.call_function("div", a.cast("long"), b.cast("long"))
 
 
 def release(j: Column, w: Column, t: Column) -> Column:
-    return F.floor(j * t / w).cast("long")
+    return _div(j * t, w)
 
 
 def deadline(j: Column, w: Column, t: Column) -> Column:
-    return F.ceil((j + 1) * t / w).cast("long")
+    return _div((j + 1) * t + w - 1, w)
 
 
 def _first_slots(weights: DataFrame) -> DataFrame:
-    """(idx, offsets): the slots of each source in the first t slots, earliest
-    deadline first, as a fold over the slots."""
-    one = weights.agg(F.sort_array(F.collect_list(F.struct("idx", "w"))).alias("sources"), F.max("t").alias("t"))
+    """(idx, offsets): the slots of each source in the first t slots, or in as
+    many as the mix can have, earliest deadline first, as a fold over the slots."""
+    one = weights.agg(
+        F.sort_array(F.collect_list(F.struct("idx", "w"))).alias("sources"),
+        F.max("t").alias("t"),
+        F.least(F.max("t"), F.max(deadline(F.col("b") - 1, F.col("w"), F.col("t")))).cast("int").alias("slots"),
+    )
     none = F.transform("sources", lambda s: F.lit(0))
-    start = F.struct(none.alias("used"), F.expr("array()").cast("array<int>").alias("picks"))
+    no_picks = F.expr("array()").cast("array<int>")
+    start = F.struct(none.alias("used"), no_picks.alias("picks"), F.expr("array()").cast("array<array<int>>").alias("before"))
 
     def slot(state, now):
         def due(s, i):
             used, t = F.get(state["used"], i), F.col("t")
-            ready = F.floor(used * t / s["w"]) <= now
-            return F.when(ready, F.struct(F.ceil((used + 1) * t / s["w"]).alias("due"), i.alias("i")))
+            ready = release(used, s["w"], t) <= now
+            return F.when(ready, F.struct(deadline(used, s["w"], t).alias("due"), i.alias("i")))
 
         pick = F.array_min(F.transform("sources", due))["i"]
         used = F.transform(state["used"], lambda u, i: u + (i == pick).cast("int"))
-        return F.struct(used.alias("used"), F.concat(state["picks"], F.array(pick)).alias("picks"))
+        return F.struct(used.alias("used"), F.concat(state["picks"], F.array(pick)).alias("picks"), state["before"].alias("before"))
+
+    def chunk(state, first):
+        def close(s):
+            return F.struct(s["used"].alias("used"), no_picks.alias("picks"), F.concat(s["before"], F.array(s["picks"])).alias("before"))
+
+        return F.aggregate(F.sequence(first, F.least(first + CHUNK, F.col("slots")) - 1), state, slot, close)
 
-    picks = F.aggregate(F.sequence(F.lit(0), F.col("t") - 1), start, slot)["picks"]
+    picks = F.flatten(F.aggregate(F.sequence(F.lit(0), F.col("slots") - 1, F.lit(CHUNK)), start, chunk)["before"])
     return one.select(F.posexplode(picks).alias("at", "idx")).groupBy("idx").agg(F.sort_array(F.collect_list("at")).alias("offsets"))
 
 
 def schedule(sizes: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """From (source, n): each source's blocks b, weight w of t, the slots
-    ``offsets`` of its blocks in a period, and the number j of its blocks that
-    the whole mix lays out."""
+    ``offsets`` of its blocks in a period (or in the mix, if that is shorter),
+    and the number j of its blocks that the whole mix lays out."""
     weights = materialise(_weights(sizes, targets), "weights")
-    rows = weights.join(_first_slots(weights), "idx").drop("idx")
+    rows = weights.join(_first_slots(weights), "idx")
     last = F.floor((F.col("b") - 1) / F.col("w")) * F.col("t") + F.get("offsets", F.pmod(F.col("b") - 1, F.col("w")).cast("int"))
     rows = rows.withColumn("slots", F.max(last + 1).over(Window.partitionBy()))
     partly = F.size(F.filter("offsets", lambda o: o < F.pmod(F.col("slots"), F.col("t"))))
@@ -134,14 +169,17 @@ def mix(docs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     tie = [F.xxhash64(F.col("row")["text"])] if "text" in docs.columns else []
     plan = schedule(docs.groupBy("source").agg(F.count("*").alias("n")), targets)
     plan = materialise(plan.withColumnRenamed("source", "p_source"), "schedule")
+    # Slots are joined by block: the array of a source would come with each document.
+    turns = materialise(plan.select(F.col("idx").alias("t_idx"), F.posexplode("offsets").alias("t_number", "turn")), "turns")
+    plan = plan.drop("offsets")
     placed = _placed(rows, tie).join(plan, F.col("source").eqNullSafe(F.col("p_source")))
     own = F.floor(F.col("m_place") / BLOCK_DOCS)
     laid = placed.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil((F.col("j") - own) / F.col("b")) - 1)))
     number = F.col("epoch") * F.col("b") + own
-    turn = F.get("offsets", F.pmod(number, F.col("w")).cast("int"))
+    laid = laid.join(turns, (F.col("idx") == F.col("t_idx")) & (F.pmod(number, F.col("w")) == F.col("t_number")))
     return laid.select(
         "row",
-        (F.floor(number / F.col("w")) * F.col("t") + turn).cast("long").alias("slot"),
+        (_div(number, F.col("w")) * F.col("t") + F.col("turn")).cast("long").alias("slot"),
         F.col("epoch").cast("long").alias("epoch"),
         number.cast("long").alias("block"),
         release(number, F.col("w"), F.col("t")).alias("release"),

@@ -163,6 +163,19 @@ def test_mixing_deviates_less_than_a_block(spark):
     assert all(lo < hi for lo, hi in weight.values())
 
 
+def test_mixing_follows_given_targets(spark):
+    docs = [(k, None, None, f"s{k % 60}") for k in range(60 * 40)]
+    for given in ({"s0": 0.5} | {f"s{k}": 0.5 / 59 for k in range(1, 60)}, {"s0": 0.9} | {f"s{k}": 0.1 / 59 for k in range(1, 60)}):
+        targets = spark.createDataFrame(list(given.items()), "source string, weight double")
+        rows = mixing.positions(spark.createDataFrame(docs, DOCS), targets).collect()
+        assert {r.doc_id for r in rows} == set(range(60 * 40)) and all(r.release <= r.slot < r.deadline for r in rows)
+        slots = {r.slot: r.source for r in rows}
+        counts = collections.Counter()
+        for s in range(max(slots) + 1):
+            counts[slots[s]] += 1
+            assert max(abs(counts[k] - w * (s + 1)) for k, w in given.items()) < 1.01
+
+
 def test_chat_reads_back_what_was_said(spark):
     rows = [(1, 0, "system", "be <|end|> kind"), (1, 1, "user", "x" * 900), (1, 2, "assistant", r"<\|turn|> [INST]" * 40)]
     rows += [(1, k, "user" if k % 2 else "assistant", f"turn {k} " * 30) for k in range(3, 20)]
