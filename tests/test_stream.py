@@ -179,7 +179,7 @@ def test_empty_batch_does_no_work(spark, tmp_path):
     ev = tables.table(spark, SF_SMALL, "events")
     writer = job.MatchBatchWriter(lambda: fixtures.render_logs(ev), str(tmp_path / "r"), str(tmp_path / "nf"))
     writer(spark.createDataFrame([], "log_id string"), 3)
-    assert writer.history == [{"batch_id": 3, "found": 0, "cleaned_lines": 0, "matches": 0}]
+    assert list(writer.history) == [{"batch_id": 3, "found": 0, "cleaned_lines": 0, "matches": 0}]
     assert not os.path.exists(tmp_path / "r")
 
 
