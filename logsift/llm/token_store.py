@@ -26,26 +26,27 @@ holds one block and one document at most.
 from __future__ import annotations
 
 import zlib
-from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logsift.llm.bpe import vocabulary_path
 from logsift.llm.common import run_path, small_batches, text_of
+from logsift.llm.word_ids import word_ids
 
 BLOCK_IDS = 1 << 20
 #: Ones of the high bit vector between two recorded positions.
 MARK_EVERY = 256
 END_ID = 0
-CACHE_PIECES, CACHE_LENGTH = 300_000, 64
 BLOCK_SCHEMA = (
     "shard int, block int, first long, n_ids long, docs array<long>, ids binary, width int, "
     "low binary, low_bits int, high binary, marks binary"
 )
+KINDS = {"int": pa.int32(), "long": pa.int64(), "array<long>": pa.list_(pa.int64()), "binary": pa.binary()}
+BLOCK = pa.schema([(n, KINDS[t]) for n, t in (c.split() for c in BLOCK_SCHEMA.split(", "))])
 
 
 class EliasFano:
@@ -100,65 +101,11 @@ class EliasFano:
         return (high << self.low_bits) + low.reshape(self.n, self.low_bits).astype(np.int64) @ weights
 
 
-class LibraryEncoder:
-    """Ids by the tokenizers library. Words between single spaces repeat a lot;
-    no merge crosses the space before a word, so a word's ids are kept."""
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        # Words may be kept only where a space starts a new pre-token.
-        pre, probe = self.tokenizer.pre_tokenizer, "ab c\nd"
-        cuts = [s for s, _ in pre.pre_tokenize_str(probe)] if pre is not None else []
-        self.by_word = cuts == ["ab", "Ġc", "Ċ", "d"] and self.tokenizer.normalizer is None
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.pieces: dict[str, bytes] = {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        kind = f"<u{self.width}"
-        got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=kind).tobytes() for e in got]
-
-    def batch(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text."""
-        if len(self.pieces) >= CACHE_PIECES:
-            self.pieces = {}
-        cut, plain = [], []
-        for k, text in enumerate(texts):
-            words = text.replace("\n", " \n").split(" ")
-            even = self.by_word and "" not in words and not any(s in text for s in self.special)
-            (cut if even else plain).append((k, words))
-        missing = {w for _, words in cut for w in words[1:] if w not in self.pieces}
-        # A word that ends in other white space takes part in what follows.
-        uneven = {w for w in missing if w[-1].isspace()}
-        if uneven:
-            plain += [x for x in cut if not uneven.isdisjoint(x[1][1:])]
-            cut = [x for x in cut if uneven.isdisjoint(x[1][1:])]
-        missing = list(missing - uneven)
-        found = dict(zip(missing, self.whole([w if w[0] == "\n" else " " + w for w in missing]), strict=True))
-        firsts = self.whole([words[0] for _, words in cut])
-        out: list[bytes] = [b""] * len(texts)
-        kept = self.pieces
-        for (k, words), first in zip(cut, firsts, strict=True):
-            out[k] = first + b"".join([kept.get(w) or found[w] for w in words[1:]])
-        for (k, _), ids in zip(plain, self.whole([texts[k] for k, _ in plain]), strict=True):
-            out[k] = ids
-        kept.update((w, ids) for w, ids in found.items() if len(w) <= CACHE_LENGTH)
-        return out
-
-
-@lru_cache(maxsize=2)
-def library_encoder(path: str) -> LibraryEncoder:
-    return LibraryEncoder(path)
-
-
-def _block(shard: int, number: int, first: int, width: int, docs: list, parts: list[bytes]) -> pd.DataFrame:
+def _block(shard: int, number: int, first: int, width: int, docs: list, parts: list[bytes]) -> pa.RecordBatch:
     ends = np.cumsum([len(p) // width for p in parts])
     ef = EliasFano.build(ends)
     row = (shard, number, first, int(ends[-1]), docs, b"".join(parts), width, ef.low, ef.low_bits, ef.high, ef.marks)
-    return pd.DataFrame([row], columns=[c.split()[0] for c in BLOCK_SCHEMA.split(", ")])
+    return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, BLOCK, strict=True)], schema=BLOCK)
 
 
 def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, shards: int | None = None) -> None:
@@ -178,14 +125,14 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, shar
     rows = rows.repartitionByRange(shards, *keys).sortWithinPartitions(*keys)
 
     def run(batches):
-        encoder, shard = library_encoder(vocabulary), TaskContext.get().partitionId()
+        encoder, shard = word_ids(vocabulary), TaskContext.get().partitionId()
         end = END_ID.to_bytes(encoder.width, "little")
         number = first = held = 0
         names: list = []
         parts: list[bytes] = []
-        for pdf in batches:
-            for name, ids in zip(pdf["doc_id"], encoder.batch(list(pdf["text"])), strict=True):
-                names.append(None if pd.isna(name) else int(name))
+        for b in batches:
+            for name, ids in zip(b.column("doc_id").to_pylist(), encoder.batch(b.column("text").to_pylist()), strict=True):
+                names.append(name)
                 parts.append(ids + end)
                 held += len(ids) // encoder.width + 1
                 if held >= BLOCK_IDS:
@@ -194,7 +141,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str | None = None, shar
         if parts:
             yield _block(shard, number, first, encoder.width, names, parts)
 
-    rows.mapInPandas(run, BLOCK_SCHEMA).write.parquet(path)
+    rows.mapInArrow(run, BLOCK_SCHEMA).write.parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -211,20 +158,26 @@ def _read(spark: SparkSession, path: str, schema: str, value) -> DataFrame:
     sums = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     starts = sums.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     name = schema.split(", ")[-1].split()[0]
+    kind = KINDS[schema.split()[-1]]
 
     def run(batches):
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                ids = np.frombuffer(row.ids, f"<u{row.width}")
-                ends = EliasFano(len(row.docs), row.low_bits, row.low, row.high, row.marks).all()
+        for b in batches:
+            for row in b.to_pylist():
+                ids = np.frombuffer(row["ids"], f"<u{row['width']}")
+                ends = EliasFano(len(row["docs"]), row["low_bits"], row["low"], row["high"], row["marks"]).all()
                 begins = np.concatenate(([0], ends[:-1]))
-                out = pd.DataFrame({"doc_id": pd.array([None if pd.isna(d) else int(d) for d in row.docs], dtype="Int64")})
-                out["start"] = begins + row.base + row.first
-                out["n_tokens"] = ends - begins
-                out[name] = [value(ids[a:b]) for a, b in zip(begins, ends, strict=True)]
-                yield out
-
-    return blocks.join(F.broadcast(starts), "shard").mapInPandas(run, schema)
+                values = [value(ids[a:b]) for a, b in zip(begins, ends, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(row["docs"], pa.int64()),
+                        pa.array(begins + row["base"] + row["first"], pa.int64()),
+                        pa.array(ends - begins, pa.int64()),
+                        pa.array(values, kind),
+                    ],
+                    names=["doc_id", "start", "n_tokens", name],
+                )
+
+    return blocks.join(F.broadcast(starts), "shard").mapInArrow(run, schema)
 
 
 def offsets(spark: SparkSession, docs: DataFrame, vocabulary: str | None = None) -> DataFrame:

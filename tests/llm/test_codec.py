@@ -4,12 +4,14 @@ import array
 import random
 
 import numpy as np
+import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from logsift.llm import html_extract
+from logsift.llm import html_extract, word_ids
 from logsift.llm.bpe import Codec, vocabulary_path
-from logsift.llm.token_store import EliasFano, LibraryEncoder
+from logsift.llm.token_store import EliasFano
+from logsift.llm.word_ids import WordIds
 
 PIECES = [" ", "  ", "\n", "\t", "a", "the", "é", "ß", "'s", "!!!", "123", "<|endoftext|>", " ", "日本", "🙂", "\r\n", "\x1c", ""]
 
@@ -33,11 +35,23 @@ def test_encoding_and_decoding_equal_the_library(tokenizer):
         assert codec.decode(got) == tokenizer.decode(ids, skip_special_tokens=False)
 
 
-def test_batches_by_word_equal_whole_texts(tokenizer):
-    some = texts(3000)
-    got = LibraryEncoder(vocabulary_path()).batch(some)
-    for text, ids in zip(some, got, strict=True):
-        assert list(np.frombuffer(ids, "<u2")) == tokenizer.encode(text, add_special_tokens=False).ids
+#: Composing marks, letters whose lower case is longer, white space outside ASCII.
+ODD = ["e\u0301", "\u0301", "Σ", "İ", "\xa0", "\x85", "ǅ", "ﬁ", "<|start", "A,b.", "\u3000", "Word,", "Word.", "x" * 70]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_batches_by_word_equal_whole_texts(name, monkeypatch):
+    library = Tokenizer.from_file(public_tokenizers.path(name))
+    encoder = WordIds(public_tokenizers.path(name))
+    assert encoder.alone != encoder.spaced
+    rnd = random.Random(7)
+    some = ["".join(rnd.choice(PIECES + ODD) for _ in range(rnd.randint(0, 14))) for _ in range(3000)]
+    some += ["", "\n", "\n\n", "a\n", "\na", "a \nb", "a\n b", " a", "a ", "x\ny"]
+    monkeypatch.setattr(word_ids, "KEPT_BYTES", 20_000)  # generations change many times
+    for begin in range(0, len(some), 200):
+        part = some[begin : begin + 200]
+        for text, ids in zip(part, encoder.batch(part), strict=True):
+            assert list(np.frombuffer(ids, "<u2")) == library.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("values", [[], [0], [5], [1, 1, 1], [3, 7, 7, 900, 10**6], list(range(0, 90000, 7))])

@@ -6,11 +6,13 @@ import hashlib
 import itertools
 import random
 import re
+import zlib
 
 import numpy as np
 import pandas as pd
 import pytest
 import xxhash
+from tokenizers import Tokenizer
 
 from logsift.llm import bpe, chat, html_extract, mixing, pivot_index, quality, repeats, simhash, token_store, url_rules
 
@@ -53,26 +55,27 @@ def roots(n, links):
     return [find(a) for a in range(n)]
 
 
-def test_repeats(spark, monkeypatch):
+@pytest.mark.parametrize("length", [400, 256, 64])
+def test_repeats(spark, monkeypatch, length):
     docs = documents()
     seen = collections.Counter()
     data = [(i, (t or "").encode()) for i, t, *_ in docs]
     for _, b in data:
-        seen.update(b[s : s + 400] for s in range(len(b) - 399))
+        seen.update(b[s : s + length] for s in range(len(b) - length + 1))
     expected = []
     for i, b in data:
         mask = bytearray(len(b))
-        for s in range(len(b) - 399):
-            if seen[b[s : s + 400]] > 1:
-                mask[s : s + 400] = b"\1" * 400
+        for s in range(len(b) - length + 1):
+            if seen[b[s : s + length]] > 1:
+                mask[s : s + length] = b"\1" * length
         kept = bytes(c for c, m in zip(b, mask, strict=True) if not m)
         runs = sum(1 for on, _ in itertools.groupby(mask) if on)
         expected.append((i, len(b), sum(mask), runs, hashlib.sha256(kept).hexdigest()))
     frame = spark.createDataFrame(docs, DOCS)
     for part in (512, 4):  # 4: large parts are dealt again, down to single windows
         monkeypatch.setattr(repeats, "PART", part)
-        assert key(map(tuple, repeats.digests(frame).collect())) == key(expected)
-    assert repeats.digests(frame.limit(0)).collect() == []
+        assert key(map(tuple, repeats.digests(frame, length).collect())) == key(expected)
+    assert repeats.digests(frame.limit(0), length).collect() == []
 
 
 def test_simhash(spark):
@@ -106,6 +109,23 @@ def test_keep_one_of_each_component(spark):
     assert simhash.keep_one(frame.limit(0)).collect() == []
 
 
+def test_token_store_equals_the_library(spark):
+    docs = documents() + [(2**63 - 1, "last word", "en", "s0"), (9007199254740993, "a  b", None, None), (-5, "x" * 3000, "en", "s0")]
+    docs += [(9007199254740995, "Word. " * 70000 + "end", "en", "s0"), (7_000, "one\n\ntwo <|endoftext|> three", "en", "s0")]
+    tokenizer = Tokenizer.from_file(bpe.vocabulary_path())
+    expected, start = [], 0
+    rows = token_store.offsets(spark, spark.createDataFrame(docs, DOCS)).collect()
+    for r, (i, t, *_) in zip(
+        sorted(rows, key=lambda r: r.start), sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0, d[1] or "")), strict=True
+    ):
+        ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0]
+        assert (r.doc_id, r.start) == (i, start)
+        start += r.n_tokens
+        expected.append((i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    assert key((r.doc_id, r.n_tokens, r.ids_crc32) for r in rows) == key(expected)
+    assert token_store.offsets(spark, spark.createDataFrame([], DOCS)).collect() == []
+
+
 def test_token_store_round_trip(spark):
     docs = documents()
     rows = token_store.offsets(spark, spark.createDataFrame(docs, DOCS)).collect()
