@@ -6,7 +6,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsift.llm import bpe, chat, html_extract, mixing, pivot_index, quality, repeats, simhash, token_store, url_rules
+from logsift.llm import (
+    bpe,
+    centroids,
+    chat,
+    divergence,
+    html_extract,
+    mixing,
+    packing,
+    pivot_index,
+    quality,
+    repeats,
+    simhash,
+    token_store,
+    url_rules,
+)
 from logsift.llm.common import table
 
 
@@ -61,6 +75,18 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(spark, rows.unionByName(probe))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -74,6 +100,13 @@ QUERIES = {
         op8_repeats,
         op9_bpe,
         op10_chat,
+        op11_divergence,
+        op12_packing,
+        op13_clusters,
     )
 }
-ORACLE_SQL = {"op4_mixing": mixing.ORACLE_SQL}
+ORACLE_SQL = {
+    "op4_mixing": mixing.ORACLE_SQL,
+    "op11_divergence": divergence.ORACLE_SQL,
+    "op13_clusters": centroids.oracle_sql(),
+}
