@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..sources.patterns import Pattern, grouped
 
+FIELDS_TYPE = "array<struct<regexId:string,occurrence:int,field:string,value:string>>"
 MATCH_ARRAY_TYPE = "array<struct<regexId:string,matched_text:string>>"
 
 
@@ -69,3 +70,25 @@ def match_array(line, patterns: list[Pattern], use_literals: bool = True) -> Col
     arr = F.filter(F.array(*elems), lambda x: x.isNotNull())
     empty = F.array().cast(MATCH_ARRAY_TYPE)
     return F.when(line.isNull() | (line == ""), empty).otherwise(arr)
+
+
+def fields(line, patterns: list[Pattern]) -> Column:
+    """``array<struct<regexId, occurrence, field, value>>``: the text of every
+    capture group of every place where a pattern is found, in catalogue order;
+    ``occurrence`` counts the places from 1. A group that takes no part in a
+    match is ``''``. The regex runs only on lines that hold the text it needs."""
+    line = _col(line)
+    none = F.array().cast(FIELDS_TYPE)
+
+    def rows(p: Pattern, g: int, name: str) -> Column:
+        def row(value: Column, i: Column) -> Column:
+            return F.struct(
+                F.lit(p.regex_id).alias("regexId"), (i + 1).alias("occurrence"), F.lit(name).alias("field"), value.alias("value")
+            )
+
+        found = F.transform(F.regexp_extract_all(line, F.lit(p.pattern), F.lit(g)), row)
+        req = p.required_literal()
+        return found if req is None else F.when(line.contains(F.lit(req)), found).otherwise(none)
+
+    parts = [rows(p, g, name) for p in patterns for g, name in enumerate(p.group_names(), start=1)]
+    return F.concat(*parts) if parts else none

@@ -41,6 +41,37 @@ def decode_events(envelope: DataFrame, value_col: str = "value") -> DataFrame:
     )
 
 
+# FIXED VALUES: why an event message names no log.
+REASON_NULL_VALUE = "value is null"
+REASON_NOT_JSON = "not a JSON object"
+REASON_NO_LOG_ID = "log_id is missing or null"
+REASON_EMPTY_LOG_ID = "log_id is empty"
+
+
+def check_events(envelope: DataFrame, value_col: str = "value", carry: tuple[str, ...] = ()) -> DataFrame:
+    """``log_id, value, reject_reason`` of every event message: the reason is null
+    for those that ``decode_events`` keeps. The parser keeps the text of a broken
+    record, which tells it from an object without a log_id."""
+    text = F.col(value_col).cast("string")
+    data = F.from_json(text, f"{EVENT_SCHEMA}, _broken string", {"columnNameOfCorruptRecord": "_broken"})
+    log_id = F.col("data.log_id")
+    reason = (
+        F.when(F.col("value").isNull(), F.lit(REASON_NULL_VALUE))
+        .when(F.col("data").isNull() | F.col("data._broken").isNotNull(), F.lit(REASON_NOT_JSON))
+        .when(log_id.isNull(), F.lit(REASON_NO_LOG_ID))
+        .when(log_id == "", F.lit(REASON_EMPTY_LOG_ID))
+    )
+    parsed = envelope.select(text.alias("value"), data.alias("data"), *carry)
+    return parsed.select(log_id.alias("log_id"), "value", reason.alias("reject_reason"), *carry)
+
+
+def rejected_events(envelope: DataFrame, value_col: str = "value", carry: tuple[str, ...] = ()) -> DataFrame:
+    """``value, reject_reason`` of the messages that name no log. The reference
+    drops them without a trace."""
+    checked = check_events(envelope, value_col, carry)
+    return checked.filter(F.col("reject_reason").isNotNull()).select("value", "reject_reason", *carry)
+
+
 def found_logs(
     request_ids: DataFrame,
     store: DataFrame,

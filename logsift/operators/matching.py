@@ -84,3 +84,16 @@ def match_summary(lines_with_matches: DataFrame, id_col: str = "log_id") -> Data
         F.size("regex_matches").alias("n_matches"),
         F.array_join(F.transform("regex_matches", lambda m: m["regexId"]), ",").alias("regex_ids"),
     )
+
+
+def extract_fields(
+    contents: DataFrame, patterns=None, id_col: str = "log_id", content_col: str = "content", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """``<id>, line_number, regexId, occurrence, field, value``: one row for each
+    capture group of each place where a pattern is found in a cleaned line (the
+    reference's patterns define such groups and discard them). One generator over
+    all patterns, in the same narrow chain as the match rows."""
+    lines = clean_lines(contents, id_col, content_col, carry)
+    pats = _patterns(lines, patterns)
+    found = F.explode(M.fields("cleaned_line", pats)).alias("f")
+    return lines.select(id_col, "line_number", *carry, found).select(id_col, "line_number", "f.*", *carry)

@@ -29,6 +29,7 @@ REASON_NULL_MATCH = "match is null"
 REASON_LONG_REGEX_ID = "regex_id longer than 50"
 REASON_LONG_LOG_ID = "log_id longer than 255"
 REASON_UNKNOWN_LOG = "log_id not in logs"
+REASON_LONG_SOURCE = "source longer than 255"
 
 # Columns that spread one log's result rows over salts.
 RESULT_SALT_COLS = ["regex_id", "line_number", "match"]
@@ -123,6 +124,17 @@ def mark_processed(logs: DataFrame, results: DataFrame, max_broadcast_keys: int
     )
 
 
+def check_writes(writes: DataFrame) -> DataFrame:
+    """``writes`` plus ``reject_reason``: null for those that ``upsert_logs``
+    stores, else why the log table cannot hold the id or the source."""
+    reason = (
+        F.when(F.col("log_id").isNull(), F.lit(REASON_NULL_LOG_ID))
+        .when(F.length("log_id") > MAX_LOG_ID_LENGTH, F.lit(REASON_LONG_LOG_ID))
+        .when(F.length("source") > MAX_LOG_ID_LENGTH, F.lit(REASON_LONG_SOURCE))
+    )
+    return writes.withColumn("reject_reason", reason)
+
+
 def upsert_logs(
     store: DataFrame, writes: DataFrame, max_broadcast_keys: int | None = MAX_BROADCAST_KEYS
 ) -> DataFrame:
@@ -132,17 +144,19 @@ def upsert_logs(
     ``'unknown'``, processed false); every later write, and every write to an
     existing id, replaces only ``content`` (null included). ``source``,
     ``timestamp`` and ``processed`` keep their first values, so an updated,
-    processed log is not queued again. Writes without a log_id are dropped.
+    processed log is not queued again. A new log without a timestamp gets the
+    time of writing. Writes that ``check_writes`` rejects are dropped.
 
     The store splits into untouched rows (anti-join, passed through without
     a shuffle when the written ids are few enough to broadcast) and touched
     rows, which are merged with their writes by one aggregate per id whose
     partial step combines a hot id's writes map-side.
     """
-    w = writes.filter(F.col("log_id").isNotNull()).select(
+    now = F.current_timestamp().cast("timestamp_ntz")
+    w = check_writes(writes).filter(F.col("reject_reason").isNull()).select(
         "log_id",
         F.coalesce("source", F.lit(DEFAULT_SOURCE)).alias("source"),
-        "timestamp",
+        F.coalesce("timestamp", now).alias("timestamp"),
         "content",
         F.lit(False).alias("processed"),
         F.struct(F.lit(1).alias("origin"), F.col("seq").cast("long").alias("seq")).alias("_order"),

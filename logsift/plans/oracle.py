@@ -138,9 +138,11 @@ def _requests() -> str:
 
 
 def _event_values() -> str:
+    rest = f"'timestamp', strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), 'source', {_q(fixtures.LOG_SOURCE)}"
+    # A null field is left out of the object.
     body = (
-        "(json_object('log_id', CASE WHEN event_id % 29 = 0 THEN NULL WHEN event_id % 31 = 0 THEN '' "
-        f"ELSE {_log_id()} END, 'timestamp', strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), 'source', {_q(fixtures.LOG_SOURCE)}))"
+        f"(CASE WHEN event_id % 29 = 0 THEN json_object({rest}) "
+        f"ELSE json_object('log_id', CASE WHEN event_id % 31 = 0 THEN '' ELSE {_log_id()} END, {rest}) END)"
     )
     return f"SELECT event_id, CASE WHEN event_id % 23 = 0 THEN 'not json' ELSE CAST({body} AS VARCHAR) END AS value FROM events"
 
@@ -339,4 +341,116 @@ def oracle_sql() -> dict[str, str]:
     st["cleaned"] = b["cleaned"]
     st["matches"] = b["matches"]
     out["stream_match"] = _with(st, "SELECT regexId, log_id, line_number, matched_text FROM matches")
+    out |= _stream_store()
+    out["rejected_events"] = _with(
+        {"event_values": _event_values(), "checked": _checked_events()},
+        "SELECT value, reject_reason FROM checked WHERE reject_reason IS NOT NULL",
+    )
+    vd = _results_ctes()
+    vd["deleted"] = _deleted()
+    out["versioned_delete"] = _with(
+        vd,
+        "SELECT l.log_id, count(r.log_id) AS results FROM logs l LEFT JOIN results r ON l.log_id = r.log_id "
+        "WHERE l.log_id NOT IN (SELECT log_id FROM deleted) GROUP BY l.log_id",
+    )
+    out["extract_fields"] = _with({k: b[k] for k in ("logs_e", "logs", "raw_lines", "cleaned")}, _fields())
+    out["match_large"] = _match_large()
     return out
+
+
+def _checked_events() -> str:
+    return (
+        "SELECT *, CASE WHEN value IS NULL THEN 'value is null' "
+        "WHEN NOT json_valid(value) OR json_type(value) <> 'OBJECT' THEN 'not a JSON object' "
+        "WHEN json_extract_string(value, '$.log_id') IS NULL THEN 'log_id is missing or null' "
+        "WHEN json_extract_string(value, '$.log_id') = '' THEN 'log_id is empty' END AS reject_reason FROM event_values"
+    )
+
+
+def _stream_store() -> dict[str, str]:
+    from .registry import STREAM_BATCHES, STREAM_UNKNOWN
+
+    c = {"logs_e": _content("event_id % 4 = 0")}
+    c["logs"] = (
+        'SELECT log_id, source, "timestamp", content, processed, event_id % ' + str(STREAM_BATCHES) + " AS batch_id "
+        f"FROM logs_e WHERE event_id % {STREAM_UNKNOWN} <> 0"
+    )
+    c["pats"] = _base()["pats"]
+    c["event_values"] = _event_values()
+    c["checked"] = _checked_events()
+    c["ids"] = (
+        "SELECT json_extract_string(value, '$.log_id') AS log_id, event_id FROM checked WHERE reject_reason IS NULL"
+    )
+    c["found"] = "SELECT * FROM logs WHERE log_id IN (SELECT log_id FROM ids)"
+    c["raw_lines"] = _lines("found")
+    c["cleaned"] = _base()["cleaned"]
+    c["matches"] = _matches("cleaned", "pats")
+    c["results"] = _results_ctes()["results"]
+    c["marked"] = _results_ctes()["marked"]
+    counts = (
+        f"SELECT event_id % {STREAM_BATCHES} AS batch_id, count(*) AS events, count(reject_reason) AS rejected "
+        "FROM checked GROUP BY 1"
+    )
+    of = "FROM {x} x JOIN logs l ON x.log_id = l.log_id WHERE l.batch_id = e.batch_id"
+    return {
+        "stream_store_results": _with(c, 'SELECT log_id, regex_id, line_number, "match", line_content FROM results'),
+        "stream_store_stats": _with(
+            c,
+            "SELECT (SELECT count(*) FROM marked) AS total_logs, (SELECT count(*) FROM marked WHERE processed) AS processed_logs, "
+            "(SELECT count(*) FROM results) AS total_matches, "
+            "(SELECT '{' || string_agg('\"' || regex_id || '\":' || CAST(n AS VARCHAR), ',' ORDER BY regex_id) || '}' "
+            "FROM (SELECT regex_id, count(*) AS n FROM results GROUP BY regex_id)) AS matches_by_type",
+        ),
+        "stream_store_pending": _with(
+            c, 'SELECT log_id FROM marked WHERE processed = false ORDER BY "timestamp" DESC, log_id LIMIT 100'
+        ),
+        "stream_store_errors": _with(
+            c,
+            'SELECT l.log_id, l.source, l."timestamp", r.line_number, r."match", r.line_content '
+            f"FROM logs l JOIN results r ON l.log_id = r.log_id WHERE r.regex_id = {_q(ERROR_REGEX_ID)}",
+        ),
+        "batch_metrics_history": _with(
+            c,
+            "SELECT CAST(e.batch_id AS BIGINT) AS batch_id, e.events, e.rejected, "
+            f"(SELECT count(*) {of.format(x='found')}) AS found, "
+            f"(SELECT count(*) FROM ids i WHERE i.event_id % {STREAM_BATCHES} = e.batch_id "
+            "AND i.log_id NOT IN (SELECT log_id FROM logs)) AS not_found, "
+            f"(SELECT count(*) {of.format(x='cleaned')}) AS cleaned_lines, "
+            f"(SELECT count(*) {of.format(x='matches')}) AS matches FROM ({counts}) e",
+        ),
+    }
+
+
+def _fields() -> str:
+    """One query a capture group of the default patterns."""
+    parts = []
+    for rid, names in P.DEFAULT_FIELDS.items():
+        pattern = dict(P.DEFAULT_PATTERNS)[rid]
+        for g, name in enumerate(names, start=1):
+            parts.append(
+                f"SELECT log_id, line_number, {_q(rid)} AS regexId, "
+                "CAST(unnest(generate_series(1, len(v))) AS INTEGER) AS occurrence, "
+                f"{_q(name)} AS field, unnest(v) AS value "
+                f"FROM (SELECT *, regexp_extract_all(cleaned_line, {_q(pattern)}, {g}) AS v FROM cleaned)"
+            )
+    return " UNION ALL ".join(parts)
+
+
+def _match_large() -> str:
+    from .registry import LARGE_CATALOGUE
+
+    c = {
+        "docs": "SELECT doc_id, text AS content FROM documents",
+        "words": (
+            "SELECT DISTINCT w FROM (SELECT unnest(string_split_regex(text, '[^a-z]+')) AS w FROM documents) "
+            "WHERE length(w) BETWEEN 5 AND 12"
+        ),
+        "chosen": f"SELECT w, row_number() OVER (ORDER BY md5(w), w) - 1 AS k FROM words ORDER BY md5(w), w LIMIT {LARGE_CATALOGUE}",
+        "raw_lines": _lines("docs", "doc_id"),
+        "cleaned": _cleaned("raw_lines", "doc_id"),
+    }
+    return _with(
+        c,
+        "SELECT 'P' || lpad(CAST(p.k AS VARCHAR), 5, '0') AS regexId, c.doc_id, c.line_number FROM cleaned c JOIN chosen p "
+        "ON contains(c.cleaned_line, p.w) AND (p.k % 100 <> 0 OR regexp_matches(c.cleaned_line, p.w || '\\w*\\.'))",
+    )

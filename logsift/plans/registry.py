@@ -219,6 +219,98 @@ def q_stream_match(spark, sf):
     return out.select("regexId", "log_id", "line_number", "matched_text")
 
 
+# Batches that the events are dealt into (event_id modulo this number).
+STREAM_BATCHES = 3
+# Events whose log is not in the store of the stream (event_id modulo this is 0).
+STREAM_UNKNOWN = 19
+
+
+def _streamed(spark, sf):
+    """The stores after a stream of several batches with a restart between them, a
+    second run of the last batch, as after a failure, and a fold of the others."""
+    from ..operators.lookup import check_events
+    from ..session import scratch_path
+    from ..streaming import job
+    from .versioned import VersionedStores
+
+    ev = _events(spark, sf)
+    base = scratch_path(spark, "stream_store")
+    logs = fixtures.existing_store(ev.filter(F.col("event_id") % STREAM_UNKNOWN != 0))
+    stores = VersionedStores.create(spark, f"{base}/stores", logs, bucket_count=STREAM_BUCKETS)
+    values = fixtures.event_values(ev)
+    parts = [values.filter(F.col("event_id") % STREAM_BATCHES == k) for k in range(STREAM_BATCHES)]
+    writer = job.store_events(spark, stores, parts, base)
+    writer(check_events(parts[-1]), STREAM_BATCHES - 1)
+    stores.fold()
+    return stores
+
+
+def q_stream_store_results(spark, sf):
+    return _streamed(spark, sf).read_results().select("log_id", "regex_id", "line_number", "match", "line_content")
+
+
+def q_stream_store_stats(spark, sf):
+    stores = _streamed(spark, sf)
+    return stats.stats_json(stores.read_logs(), stores.read_results())
+
+
+def q_stream_store_pending(spark, sf):
+    return views.pending_logs(_streamed(spark, sf).read_logs())
+
+
+def q_stream_store_errors(spark, sf):
+    stores = _streamed(spark, sf)
+    return views.error_logs(stores.read_logs(), stores.read_results())
+
+
+def q_batch_metrics_history(spark, sf):
+    return _streamed(spark, sf).metrics_history().drop("stream_id")
+
+
+def q_rejected_events(spark, sf):
+    return lookup.rejected_events(fixtures.event_values(_events(spark, sf)))
+
+
+def q_versioned_delete(spark, sf):
+    """Deleting logs hides them and their results at one commit: what is left in
+    both stores, by log."""
+    from ..session import scratch_path
+    from .versioned import VersionedStores
+
+    ev = _events(spark, sf)
+    stores = VersionedStores.create(
+        spark, scratch_path(spark, "stores"), fixtures.existing_store(ev), _results(spark, sf), STREAM_BUCKETS
+    )
+    stores.delete(fixtures.deleted_log_ids(ev))
+    left = stores.read_results().groupBy("log_id").agg(F.count(F.lit(1)).alias("results"))
+    return stores.read_logs().select("log_id").join(left, "log_id", "left").select("log_id", F.coalesce("results", F.lit(0)).alias("results"))
+
+
+def q_extract_fields(spark, sf):
+    return matching.extract_fields(_logs(spark, sf))
+
+
+# Patterns of the large catalogue that is derived from the documents.
+LARGE_CATALOGUE = 5000
+
+
+def large_catalogue(documents: DataFrame, size: int = LARGE_CATALOGUE) -> list[P.Pattern]:
+    """``size`` patterns from the documents' own words: the distinct words of 5 to 12
+    lower-case letters with the least hashes. Every 100th is a regex."""
+    words = documents.select(F.explode(F.split("text", "[^a-z]+")).alias("w")).where("length(w) between 5 and 12").distinct()
+    rows = words.orderBy(F.md5("w"), "w").limit(size).collect()
+    return [P.Pattern(f"P{k:05d}", rf"{r.w}\w*\." if k % 100 == 0 else r.w) for k, r in enumerate(rows)]
+
+
+def q_match_large(spark, sf):
+    """A catalogue of thousands of patterns through the index of their texts."""
+    from ..operators import catalogue_index
+
+    docs = fixtures.documents_as_logs(tables.table(spark, sf, "documents"))
+    patterns = large_catalogue(tables.table(spark, sf, "documents"))
+    return catalogue_index.match_lines_indexed(docs, patterns, id_col="doc_id").select("regexId", "doc_id", "line_number")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

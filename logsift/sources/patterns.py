@@ -41,6 +41,14 @@ DEFAULT_PATTERNS = [
     ("IP_ADDRESS_EXTRACT", r"from IP (\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})"),
 ]
 
+# FIXED VALUES: names of the capture groups of the default patterns, in order.
+DEFAULT_FIELDS = {
+    "ADDITIONAL_INFO_LINE": ("request_id", "process_time"),
+    "USER_ID_EXTRACT": ("user_id",),
+    "SESSION_ID_EXTRACT": ("session_id",),
+    "IP_ADDRESS_EXTRACT": ("ip_address",),
+}
+
 # The id that marks error lines (the store's error view filters on it).
 ERROR_REGEX_ID = "LOG_TYPE_ERROR"
 
@@ -55,6 +63,35 @@ _META = set(".^$*+?{}[]()|\\")
 class Pattern:
     regex_id: str
     pattern: str
+    # Names of the capture groups; empty: as the pattern itself names them.
+    fields: tuple[str, ...] = ()
+
+    def group_names(self) -> list[str]:
+        """A name for each capture group, in order: the given ones, else the
+        pattern's own ``(?<name>...)``, else ``group_<n>``."""
+        own = []
+        i, p = 0, self.pattern
+        in_class = 0
+        while i < len(p):
+            if p.startswith("\\Q", i):  # quoted text
+                end = p.find("\\E", i)
+                i = len(p) if end < 0 else end + 2
+                continue
+            if p[i] == "\\":
+                i += 2
+                continue
+            if p[i] == "[":
+                in_class += 1
+            elif p[i] == "]" and in_class:
+                in_class -= 1
+            elif p[i] == "(" and not in_class:
+                if not p.startswith("(?", i):
+                    own.append("")
+                elif p.startswith("(?<", i) and p[i + 3 : i + 4] not in ("=", "!"):
+                    own.append(p[i + 3 : p.index(">", i)])
+            i += 1
+        given = [*self.fields, *[""] * len(own)]
+        return [given[k] or name or f"group_{k + 1}" for k, name in enumerate(own)]
 
     def literal(self) -> str | None:
         """The plain text this pattern searches for, or None when it needs a
@@ -169,13 +206,13 @@ def catalogue(entries=None) -> list[Pattern]:
     """Build and validate a catalogue from (id, pattern) pairs or dicts with
     ``regexId``/``pattern`` keys. Defaults to the built-in 23 patterns."""
     if entries is None:
-        entries = DEFAULT_PATTERNS
+        entries = [Pattern(rid, pat, DEFAULT_FIELDS.get(rid, ())) for rid, pat in DEFAULT_PATTERNS]
     out = []
     for e in entries:
         if isinstance(e, Pattern):
             out.append(e)
         elif isinstance(e, dict):
-            out.append(Pattern(e.get("regexId", e.get("regex_id")), e.get("pattern")))
+            out.append(Pattern(e.get("regexId", e.get("regex_id")), e.get("pattern"), tuple(e.get("fields") or ())))
         else:
             rid, pat = e
             out.append(Pattern(rid, pat))

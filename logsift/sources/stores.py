@@ -32,6 +32,11 @@ def bucket_of(log_id, bucket_count: int) -> Column:
     return F.pmod(F.xxhash64(c), F.lit(bucket_count)).cast("int")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 @dataclass(frozen=True)
 class StoreTable:
     """A bucketed table: where it lives and how many buckets it has."""

@@ -19,20 +19,23 @@ ids fall in.
 
 from __future__ import annotations
 
+import json
 import logging
 import os
 from collections import deque
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.joins import MAX_BROADCAST_KEYS
-from ..operators.lookup import decode_events
+from ..operators.lookup import check_events, decode_events
 from ..operators.matching import match_lines
 from ..operators.payload import kafka_payload
 from ..plans.micro_batch import process_ids
+from ..plans.versioned import STORED_RESULTS_SCHEMA, VersionedStores, stamped
 from ..session import scratch_path
-from ..sources.stores import StoreTable
+from ..sources.stores import BUCKET_COL, StoreTable, bucket_profile, path_exists
 
 log = logging.getLogger(__name__)
 
@@ -141,6 +144,101 @@ class MatchBatchWriter:
             ids.unpersist()
 
 
+def stream_id_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a checkpoint keeps of its query. A new checkpoint, in the same
+    place too, has a new one; a restart has the old one."""
+    line = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(line)["id"]
+
+
+def claim_output(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Batch numbers start anew with a checkpoint, so the folders of one stream must
+    not be written by another: the first stream leaves its id in ``path``, and
+    any other one is refused."""
+    marker, own = f"{path.rstrip('/')}/_stream", stream_id_of(spark, checkpoint)
+    if not path_exists(spark, marker):
+        spark.createDataFrame([(own,)], "value string").coalesce(1).write.text(marker)
+        return
+    owner = spark.read.text(marker).first()[0]
+    if owner != own:
+        raise ValueError(f"{path} holds the batches of another checkpoint (stream {owner}); take a new folder")
+
+
+class StoreBatchWriter:
+    """The ``foreachBatch`` function that stores results: a batch's match rows
+    become rows of the result store, its logs are processed from then on, and what
+    could not be decoded or found is kept beside them (``plans.versioned``). All of
+    it is one attempt, which a replay replaces."""
+
+    def __init__(
+        self,
+        stores: VersionedStores,
+        checkpoint: str,
+        patterns=None,
+        kafka: tuple[str, str] | None = None,
+        max_broadcast_keys: int | None = MAX_BROADCAST_KEYS,
+    ):
+        self.stores, self.checkpoint = stores, checkpoint
+        self.patterns, self.kafka, self.max_broadcast_keys = patterns, kafka, max_broadcast_keys
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        stores = VersionedStores(spark, self.stores.base, self.stores.bucket_count)
+        events = batch.select("log_id", "value", "reject_reason").persist()
+        try:
+            ids = events.filter("reject_reason IS NULL").select("log_id")
+            rejected = events.filter("reject_reason IS NOT NULL").select("value", "reject_reason")
+            n = events.agg(F.count(F.lit(1)).alias("events"), F.count("reject_reason").alias("rejected")).first()
+            if not n.events:
+                return
+            # Only the buckets of the batch's ids are read, less what is deleted.
+            buckets, _ = bucket_profile(ids, stores.bucket_count)
+            version = stores.current()
+            logs = stores.logs_table(version).read_buckets(spark, buckets).drop(BUCKET_COL)
+            logs = stores.without_deleted(logs, version)
+            out = process_ids(ids, logs, self.patterns, self.max_broadcast_keys, observe=True)
+            missing = Observation()
+            lost = out.not_found.observe(missing, F.count(F.lit(1)).alias("rows"))
+
+            def counts() -> dict:
+                seen = {"found": 0, "cleaned_lines": 0, "matches": 0} | out.metrics()
+                return {"events": n.events, "rejected": n.rejected, "not_found": missing.get.get("rows", 0), **seen}
+
+            parts = {"results": stamped(out.results), "rejected": rejected, "not_found": lost}
+            path = stores.write_batch(stream_id_of(spark, self.checkpoint), batch_id, parts, counts)
+            if self.kafka:
+                rows = spark.read.schema(STORED_RESULTS_SCHEMA).parquet(path)
+                if not rows.isEmpty():
+                    named = rows.withColumnsRenamed({"regex_id": "regexId", "match": "matched_text"})
+                    write_kafka(named, *self.kafka)
+        finally:
+            events.unpersist()
+
+
+def start_store_stream(
+    envelope: DataFrame,
+    writer: StoreBatchWriter,
+    trigger: str | None = DEFAULT_TRIGGER,
+    available_now: bool = False,
+    once_within: str | None = None,
+):
+    """Check ``envelope``'s messages and run ``writer`` on each micro-batch.
+
+    With ``once_within`` (such as ``"10 minutes"``) an id that comes again within that
+    time, in any batch and after a restart, is matched once: the ids are keyed state.
+    Its clock is the arrival of the messages, so none of them is ever late. Messages
+    that name no log all pass."""
+    checked = check_events(envelope)
+    if once_within:
+        # Without an id the message itself, and its place in the stream, is the key.
+        nth = F.when(F.col("reject_reason").isNotNull(), F.expr("uuid()"))
+        checked = checked.withColumn("arrived", F.current_timestamp()).withColumn("nth", nth)
+        checked = checked.withWatermark("arrived", once_within).dropDuplicatesWithinWatermark(["log_id", "nth"])
+    w = checked.writeStream.foreachBatch(writer).option("checkpointLocation", writer.checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
+    return w.start()
+
+
 def start_match_stream(
     envelope: DataFrame,
     writer: MatchBatchWriter,
@@ -149,9 +247,15 @@ def start_match_stream(
     available_now: bool = False,
 ):
     """Decode ``envelope`` (a stream with a ``value`` column) and run
-    ``writer`` on each micro-batch."""
+    ``writer`` on each micro-batch. The writer's folder is refused where it holds
+    the batches of another checkpoint."""
     ids = decode_events(envelope)
-    w = ids.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        claim_output(batch.sparkSession, writer.results_path, checkpoint)
+        writer(batch, batch_id)
+
+    w = ids.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start()
 
@@ -184,3 +288,20 @@ def run_to_completion(
         none = spark.createDataFrame([], "log_id string, content string")
         return match_lines(none, patterns), writer, base
     return spark.read.parquet(results_path).drop("batch_id"), writer, base
+
+
+def store_events(
+    spark: SparkSession, stores: VersionedStores, parts: list[DataFrame], base: str, patterns=None
+) -> StoreBatchWriter:
+    """Feed frames of event messages (column ``value``) to the stream one after the
+    other, each as a batch of a stream that is stopped and started again between
+    them. Returns the writer."""
+    events = os.path.join(base, "events")
+    writer = StoreBatchWriter(stores, os.path.join(base, "checkpoint"), patterns)
+    for part in parts:
+        part.select("value").write.mode("append").parquet(events)
+        q = start_store_stream(file_events(spark, events, "value binary"), writer, available_now=True)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+    return writer
