@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.stores import BUCKET_COL, StoreTable, bucket_profile, prune_to_buckets
+from ..sources.stores import BUCKET_COL, POINT_IDS, StoreTable, bucket_profile, prune_to_buckets
 from .joins import MAX_BROADCAST_KEYS, key_set, semi_join_keys
 from .skew import expand_counts
 
@@ -89,6 +89,9 @@ def found_logs(
         ids = request_ids.select("log_id").filter(F.col("log_id").isNotNull()).distinct()
         small = max_broadcast_keys is not None and n_ids <= max_broadcast_keys
         table = store.read_buckets(request_ids.sparkSession, buckets)
+        if n_ids <= POINT_IDS:
+            # Few ids: as values they choose row groups and pages in the reader.
+            table = table.filter(F.col("log_id").isin([r.log_id for r in ids.collect()]))
         return semi_join_keys(table.select("log_id", "content"), ids, "log_id", small)
     ids, small = key_set(request_ids, "log_id", max_broadcast_keys)
     if bucket_count and BUCKET_COL in store.columns:

@@ -7,22 +7,32 @@ in (staged in the shared folder, then swapped in by dynamic partition
 overwrite); results are appended; a delete writes a new version of both
 stores into fresh directories. Each job's plan starts at files, so repeated
 maintenance never builds a long lineage.
+
+Statistics are kept as partial counts of each bucket: a job names the buckets it
+changes, changes the stores, counts those buckets again and takes the names back.
+``stored_stats`` adds the partial counts up and reads no store; buckets that an
+interrupted job has left named are counted first.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import store as S
 from ..session import scratch_path
 from ..sources.stores import (
+    BUCKET_COL,
     DEFAULT_BUCKETS,
     StoreTable,
     append_bucketed,
     buckets_of,
+    drop_path,
+    path_exists,
     rewrite_buckets,
     write_bucketed,
     write_version,
@@ -49,7 +59,9 @@ class LogStores:
             bucket_count,
             schema=RESULTS_SCHEMA,
         )
-        return cls(base, lt, rt)
+        stores = cls(base, lt, rt)
+        count_buckets(logs.sparkSession, stores, list(range(bucket_count)))
+        return stores
 
     def read_logs(self, spark: SparkSession) -> DataFrame:
         return self.logs.read(spark).drop("bucket")
@@ -74,16 +86,19 @@ def post_logs(spark: SparkSession, stores: LogStores, writes: DataFrame, in_plac
     """Upsert a batch of log writes (``log_id, source, timestamp, content,
     seq``). In place, only the buckets the written ids fall in are rewritten;
     otherwise the whole store is written as a new version."""
-    if not in_place:
-        return stores._next_logs(S.upsert_logs(stores.read_logs(spark), writes))
     buckets = buckets_of(writes.filter("log_id IS NOT NULL"), stores.logs.bucket_count)
-    rewrite_buckets(
-        spark,
-        stores.logs,
-        buckets,
-        lambda current: S.upsert_logs(current, writes).select(*_cols(LOGS_SCHEMA)),
-        scratch_path(spark, "staging", "logs"),
-    )
+    named = name_buckets(spark, stores, buckets)
+    if not in_place:
+        stores = stores._next_logs(S.upsert_logs(stores.read_logs(spark), writes))
+    else:
+        rewrite_buckets(
+            spark,
+            stores.logs,
+            buckets,
+            lambda current: S.upsert_logs(current, writes).select(*_cols(LOGS_SCHEMA)),
+            scratch_path(spark, "staging", "logs"),
+        )
+    count_buckets(spark, stores, buckets, named)
     return stores
 
 
@@ -97,13 +112,14 @@ def post_results(spark: SparkSession, stores: LogStores, batch: DataFrame) -> tu
     checked = S.check_results(batch, logs)
     accepted = checked.filter("reject_reason IS NULL").drop("reject_reason")
     rejected = checked.filter("reject_reason IS NOT NULL")
+    buckets = buckets_of(accepted.select("log_id"), stores.logs.bucket_count)
+    named = name_buckets(spark, stores, buckets)
     append_bucketed(accepted.select(*_cols(RESULTS_SCHEMA)), stores.results)
     # Rejects go to a quarantine table before the logs change underneath.
     quarantine = scratch_path(spark, "quarantine", "results")
     rejected.write.parquet(quarantine)
     rejected = spark.read.schema(f"{RESULTS_SCHEMA}, reject_reason string").parquet(quarantine)
     # Flag the logs of this batch: only their buckets are rewritten.
-    buckets = buckets_of(accepted.select("log_id"), stores.logs.bucket_count)
     rewrite_buckets(
         spark,
         stores.logs,
@@ -113,10 +129,87 @@ def post_results(spark: SparkSession, stores: LogStores, batch: DataFrame) -> tu
         ),
         scratch_path(spark, "staging", "logs"),
     )
+    count_buckets(spark, stores, buckets, named)
     return stores, rejected
 
 
 def delete_logs(spark: SparkSession, stores: LogStores, ids: DataFrame) -> LogStores:
     """Delete logs by id; their results go with them."""
+    buckets = buckets_of(ids.filter("log_id IS NOT NULL"), stores.logs.bucket_count)
+    named = name_buckets(spark, stores, buckets)
     logs, results = S.cascade_delete(stores.read_logs(spark), stores.read_results(spark), ids)
-    return stores._next_logs(logs)._next_results(results)
+    stores = stores._next_logs(logs)._next_results(results)
+    count_buckets(spark, stores, buckets, named)
+    return stores
+
+
+# --- statistics ---------------------------------------------------------------
+
+#: Partial counts of a bucket: of its logs (``regex_id`` null) and of its results.
+PARTIAL_SCHEMA = "regex_id string, n long, processed long"
+
+
+def _stats_path(stores: LogStores, *parts: str) -> str:
+    return os.path.join(stores.base, "stats", *parts)
+
+
+def name_buckets(spark: SparkSession, stores: LogStores, buckets: list[int]) -> str:
+    """Write down that the counts of ``buckets`` are about to change."""
+    path = _stats_path(stores, "named", uuid.uuid4().hex)
+    spark.createDataFrame([(b,) for b in buckets], f"{BUCKET_COL} int").coalesce(1).write.parquet(path)
+    return path
+
+
+def count_buckets(spark: SparkSession, stores: LogStores, buckets: list[int], named: str | None = None) -> None:
+    """Count ``buckets`` again, replace their partial counts and take back that
+    they were named. Each bucket has a row of its logs, so an empty one is replaced
+    as well."""
+    every = spark.createDataFrame([(b,) for b in buckets], f"{BUCKET_COL} int")
+    of_logs = (
+        stores.logs.read_buckets(spark, buckets)
+        .groupBy(BUCKET_COL)
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if("processed").alias("processed"))
+    )
+    zero = F.lit(0).cast("long")
+    logs = every.join(of_logs, BUCKET_COL, "left").select(
+        F.lit(None).cast("string").alias("regex_id"),
+        F.coalesce("n", zero).alias("n"),
+        F.coalesce("processed", zero).alias("processed"),
+        BUCKET_COL,
+    )
+    results = (
+        stores.results.read_buckets(spark, buckets)
+        .groupBy(BUCKET_COL, "regex_id")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("regex_id", "n", zero.alias("processed"), BUCKET_COL)
+    )
+    (
+        logs.unionByName(results)
+        .repartition(BUCKET_COL)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(BUCKET_COL)
+        .parquet(_stats_path(stores, "counts"))
+    )
+    if named is not None:
+        drop_path(spark, named)
+
+
+def stored_stats(spark: SparkSession, stores: LogStores) -> DataFrame:
+    """The record of ``stats_json`` from the partial counts alone: a row for each
+    bucket and id, whatever the stores hold."""
+    left = _stats_path(stores, "named")
+    if path_exists(spark, left):
+        rows = spark.read.schema(f"{BUCKET_COL} int").option("recursiveFileLookup", "true").parquet(left).distinct().collect()
+        if rows:  # a job was interrupted
+            count_buckets(spark, stores, [r[0] for r in rows])
+            drop_path(spark, left)
+    counts = spark.read.schema(f"{PARTIAL_SCHEMA}, {BUCKET_COL} int").parquet(_stats_path(stores, "counts"))
+    by_id = counts.where("regex_id is not null").groupBy("regex_id").agg(F.sum("n").alias("n"))
+    as_map = by_id.select(F.map_from_entries(F.array_sort(F.collect_list(F.struct("regex_id", "n")))).alias("m")).scalar()
+    of_logs, zero = F.col("regex_id").isNull(), F.lit(0).cast("long")
+    return counts.agg(
+        F.coalesce(F.sum(F.when(of_logs, F.col("n"))), zero).alias("total_logs"),
+        F.coalesce(F.sum(F.when(of_logs, F.col("processed"))), zero).alias("processed_logs"),
+        F.coalesce(F.sum(F.when(~of_logs, F.col("n"))), zero).alias("total_matches"),
+    ).select("total_logs", "processed_logs", "total_matches", F.to_json(as_map).alias("matches_by_type"))

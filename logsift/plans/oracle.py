@@ -116,7 +116,7 @@ def _base(patterns=None, processed: str = "false") -> dict[str, str]:
 
 
 def _results_ctes() -> dict[str, str]:
-    c = _base()
+    c = _base(processed="event_id % 4 = 0")
     c["results"] = (
         "SELECT log_id, regexId AS regex_id, line_number, matched_text AS \"match\", "
         "coalesce(matched_text, '') AS line_content FROM matches"
@@ -131,7 +131,7 @@ def _results_ctes() -> dict[str, str]:
 
 def _requests() -> str:
     return (
-        f"SELECT {_log_id()} AS log_id FROM events "
+        f"SELECT {_log_id()} AS log_id FROM events WHERE event_id % 3 <> 2 "
         f"UNION ALL SELECT {_log_id()} FROM events WHERE event_id % 20 = 0 "
         "UNION ALL SELECT 'log_missing_' || CAST(event_id AS VARCHAR) FROM events WHERE event_id % 50 = 0"
     )
@@ -156,11 +156,20 @@ def _decoded() -> str:
 
 
 def _violations() -> str:
-    return (
-        "SELECT 'log_missing_' || CAST(event_id AS VARCHAR) AS log_id, 'LOG_TYPE_INFO' AS regex_id, 1 AS line_number, "
-        "'x' AS \"match\", CAST(NULL AS VARCHAR) AS line_content FROM events WHERE event_id % 50 = 0 "
-        f"UNION ALL SELECT {_log_id()}, 'LOG_TYPE_INFO', 1, NULL, NULL FROM events WHERE event_id % 37 = 0 "
-        f"UNION ALL SELECT {_log_id()}, repeat('X', 51), 1, 'x', NULL FROM events WHERE event_id % 41 = 0"
+    info = "'LOG_TYPE_INFO'"
+    rows = [
+        (50, "'log_missing_' || CAST(event_id AS VARCHAR)", info, "1", "'x'"),
+        (43, "CAST(NULL AS VARCHAR)", info, "1", "'x'"),
+        (47, _log_id(), "NULL", "1", "'x'"),
+        (53, _log_id(), info, "NULL", "'x'"),
+        (37, _log_id(), info, "1", "NULL"),
+        (41, _log_id(), "repeat('X', 51)", "1", "'x'"),
+        (59, f"rpad({_log_id()}, 256, 'y')", info, "1", "'x'"),
+    ]
+    return " UNION ALL ".join(
+        f'SELECT {log_id} AS log_id, {regex_id} AS regex_id, {line} AS line_number, {match} AS "match", '
+        f"CAST(NULL AS VARCHAR) AS line_content FROM events WHERE event_id % {every} = 0"
+        for every, log_id, regex_id, line, match in rows
     )
 
 
@@ -234,6 +243,7 @@ def oracle_sql() -> dict[str, str]:
     )
     from .registry import TABLE_CATALOGUE
 
+    out["match_distinct"] = out["match_lines"]
     out["match_join"] = _with(_base(TABLE_CATALOGUE), "SELECT regexId, log_id, line_number, matched_text FROM matches")
     out["kafka_payload"] = _with(
         b,
@@ -342,6 +352,7 @@ def oracle_sql() -> dict[str, str]:
     st["matches"] = b["matches"]
     out["stream_match"] = _with(st, "SELECT regexId, log_id, line_number, matched_text FROM matches")
     out |= _stream_store()
+    out["stats_partials"] = _stats_partials()
     out["rejected_events"] = _with(
         {"event_values": _event_values(), "checked": _checked_events()},
         "SELECT value, reject_reason FROM checked WHERE reject_reason IS NOT NULL",
@@ -353,11 +364,43 @@ def oracle_sql() -> dict[str, str]:
         "SELECT l.log_id, count(r.log_id) AS results FROM logs l LEFT JOIN results r ON l.log_id = r.log_id "
         "WHERE l.log_id NOT IN (SELECT log_id FROM deleted) GROUP BY l.log_id",
     )
+    bs = _base(processed="event_id % 4 = 0")
+    bs["pending"] = "SELECT * FROM logs WHERE NOT processed"
+    bs["raw_lines"] = _lines("pending")
+    bs = {k: bs[k] for k in ("logs_e", "logs", "pats", "pending", "raw_lines", "cleaned", "matches")}
+    bs |= {k: _results_ctes()[k] for k in ("results", "marked")}
+    out["batch_store_stats"] = _with(bs, _record("marked", "results"))
+    out["log_by_few_ids"] = _with(
+        {"logs_e": b["logs_e"]},
+        "SELECT log_id, content FROM logs_e WHERE event_id IN (SELECT min(event_id) FROM events UNION SELECT max(event_id) FROM events)",
+    )
     out["extract_fields"] = _with({k: b[k] for k in ("logs_e", "logs", "raw_lines", "cleaned")}, _fields())
     out["match_large"] = _match_large()
     return out
 
 
+def _stats_partials() -> str:
+    """The statistics after the writes, the results and the deletes, recounted."""
+    c = _upsert()
+    c |= {k: v for k, v in _results_ctes().items() if k not in ("marked", "logs_e")}
+    c["deleted"] = _deleted()
+    c["left_logs"] = (
+        "SELECT u.log_id, u.processed OR u.log_id IN (SELECT log_id FROM results) AS processed FROM upserted u "
+        "WHERE u.log_id NOT IN (SELECT log_id FROM deleted)"
+    )
+    c["left_results"] = "SELECT * FROM results WHERE log_id NOT IN (SELECT log_id FROM deleted)"
+    return _with(c, _record("left_logs", "left_results"))
+
+
+def _record(logs: str, results: str) -> str:
+    return (
+        f"SELECT (SELECT count(*) FROM {logs}) AS total_logs, (SELECT count(*) FROM {logs} WHERE processed) AS processed_logs, "
+        f"(SELECT count(*) FROM {results}) AS total_matches, "
+        "(SELECT '{' || string_agg('\"' || regex_id || '\":' || CAST(n AS VARCHAR), ',' ORDER BY regex_id) || '}' "
+        f"FROM (SELECT regex_id, count(*) AS n FROM {results} GROUP BY regex_id)) AS matches_by_type"
+    )
+
+
 def _checked_events() -> str:
     return (
         "SELECT *, CASE WHEN value IS NULL THEN 'value is null' "
@@ -394,13 +437,7 @@ def _stream_store() -> dict[str, str]:
     of = "FROM {x} x JOIN logs l ON x.log_id = l.log_id WHERE l.batch_id = e.batch_id"
     return {
         "stream_store_results": _with(c, 'SELECT log_id, regex_id, line_number, "match", line_content FROM results'),
-        "stream_store_stats": _with(
-            c,
-            "SELECT (SELECT count(*) FROM marked) AS total_logs, (SELECT count(*) FROM marked WHERE processed) AS processed_logs, "
-            "(SELECT count(*) FROM results) AS total_matches, "
-            "(SELECT '{' || string_agg('\"' || regex_id || '\":' || CAST(n AS VARCHAR), ',' ORDER BY regex_id) || '}' "
-            "FROM (SELECT regex_id, count(*) AS n FROM results GROUP BY regex_id)) AS matches_by_type",
-        ),
+        "stream_store_stats": _with(c, _record("marked", "results")),
         "stream_store_pending": _with(
             c, 'SELECT log_id FROM marked WHERE processed = false ORDER BY "timestamp" DESC, log_id LIMIT 100'
         ),

@@ -34,7 +34,8 @@ def _results(spark, sf):
 
 
 def _marked(spark, sf):
-    return store.mark_processed(_logs(spark, sf), _results(spark, sf))
+    """Some logs are processed already."""
+    return store.mark_processed(fixtures.existing_store(_events(spark, sf)), _results(spark, sf))
 
 
 def _lookup(spark, sf):
@@ -71,6 +72,11 @@ def q_match_lines(spark, sf):
     return _matches(spark, sf)
 
 
+def q_match_distinct(spark, sf):
+    """A store that repeats logs: each match row once."""
+    return matching.match_lines(fixtures.repeated_logs(_events(spark, sf)), distinct_rows=True)
+
+
 def q_match_join(spark, sf):
     """The catalogue held as a table (with repeated ids, which must not
     repeat match rows), size-checked and compiled into the plan."""
@@ -271,6 +277,32 @@ def q_rejected_events(spark, sf):
     return lookup.rejected_events(fixtures.event_values(_events(spark, sf)))
 
 
+def q_batch_store_stats(spark, sf):
+    """Batch mode over the stores: pending logs are matched, stored and flagged; a
+    second run finds what is still pending, and nothing new in it."""
+    from ..session import scratch_path
+    from .versioned import VersionedStores
+
+    logs = fixtures.existing_store(_events(spark, sf))
+    stores = VersionedStores.create(spark, scratch_path(spark, "stores"), logs, bucket_count=STREAM_BUCKETS)
+    stores.match_pending()
+    stores.match_pending()
+    return stats.stats_json(stores.read_logs(), stores.read_results())
+
+
+def q_log_by_few_ids(spark, sf):
+    """Point lookups in a bucketed store: the first and the last logs and an id that
+    it lacks."""
+    from ..session import scratch_path
+    from ..sources import stores
+
+    ev = _events(spark, sf)
+    table = stores.write_bucketed(_logs(spark, sf), scratch_path(spark, "stores", "logs"), STREAM_BUCKETS)
+    ends = ev.agg(F.min("event_id").alias("a"), F.max("event_id").alias("b")).select(F.explode(F.array("a", "b")).alias("e"))
+    ids = ends.select(F.explode(F.array(fixtures.log_id_of(F.col("e")), F.lit("log_missing"))).alias("log_id"))
+    return lookup.log_by_id(table, ids)
+
+
 def q_versioned_delete(spark, sf):
     """Deleting logs hides them and their results at one commit: what is left in
     both stores, by log."""
@@ -286,6 +318,21 @@ def q_versioned_delete(spark, sf):
     return stores.read_logs().select("log_id").join(left, "log_id", "left").select("log_id", F.coalesce("results", F.lit(0)).alias("results"))
 
 
+def q_stats_partials(spark, sf):
+    """The statistics after an upsert, an append and a delete, from the partial
+    counts of the buckets."""
+    from ..session import scratch_path
+    from . import maintenance
+
+    ev = _events(spark, sf)
+    none = _results(spark, sf).limit(0)
+    stores = maintenance.LogStores.create(scratch_path(spark, "stores"), fixtures.existing_store(ev), none, STREAM_BUCKETS)
+    stores = maintenance.post_logs(spark, stores, fixtures.log_writes(ev))
+    stores, _ = maintenance.post_results(spark, stores, _results(spark, sf))
+    stores = maintenance.delete_logs(spark, stores, fixtures.deleted_log_ids(ev))
+    return maintenance.stored_stats(spark, stores)
+
+
 def q_extract_fields(spark, sf):
     return matching.extract_fields(_logs(spark, sf))
 

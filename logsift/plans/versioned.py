@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from ..operators import store as S
 from ..operators.joins import MAX_BROADCAST_KEYS, key_set, semi_join_keys
+from ..operators.matching import match_lines
 from ..session import scratch_path
 from ..sources.stores import BUCKET_COL, DEFAULT_BUCKETS, StoreTable, buckets_of, path_exists, rewrite_buckets, write_bucketed
 from ..sources.tables import LOGS_SCHEMA, RESULTS_SCHEMA
@@ -202,13 +203,29 @@ class VersionedStores:
             return v
         rows = self.without_deleted(self._batches("results", done), v)
         path = self._write_results(rows)
-        flags = self._fresh("flags")
-        StoreTable(path, self.bucket_count, STORED_RESULTS_SCHEMA).read(self.spark).select("log_id").distinct().write.parquet(flags)
+        flags = self._write_flags(path)
         folded = v.folded | {r.stream_id: r.batch_id for r in done}
         new = Version(v.version + 1, v.logs, [*v.results, path], [*v.flags, flags], v.tombstones, folded)
         self._commit(new)
         return new
 
+    def match_pending(self, patterns=None) -> Version:
+        """Batch mode: match every log that is not processed; its results and its
+        flag appear at one commit. Logs without a match stay pending."""
+        v = self.current()
+        pending = self.read_logs().where(~F.coalesce("processed", F.lit(False)))
+        path = self._write_results(S.results_rows(match_lines(pending, patterns)))
+        new = Version(v.version + 1, v.logs, [*v.results, path], [*v.flags, self._write_flags(path)], v.tombstones, v.folded)
+        self._commit(new)
+        return new
+
+    def _write_flags(self, results: str) -> str:
+        """The log ids of a part of the results table."""
+        path = self._fresh("flags")
+        rows = StoreTable(results, self.bucket_count, STORED_RESULTS_SCHEMA).read(self.spark)
+        rows.select("log_id").distinct().write.parquet(path)
+        return path
+
     def delete(self, ids: DataFrame) -> Version:
         """Delete logs by id with their results: one row of state hides both."""
         v = self.current()

@@ -144,12 +144,13 @@ def event_values(events: DataFrame) -> DataFrame:
 
 
 def lookup_requests(events: DataFrame) -> DataFrame:
-    """Ids asked of the store: every log, a second request for ``e % 20 = 0``
-    logs (duplicates), and unknown ids for ``e % 50 = 0``."""
+    """Ids asked of the store: two logs of three (``e % 3 <> 2``), a second
+    request for ``e % 20 = 0`` logs (duplicates, and some of the others), and
+    unknown ids for ``e % 50 = 0``."""
     e = F.col("event_id")
     ids = F.array_compact(
         F.array(
-            log_id_of(e),
+            F.when(e % 3 != 2, log_id_of(e)),
             F.when(e % 20 == 0, log_id_of(e)),
             F.when(e % 50 == 0, F.concat(F.lit("log_missing_"), e.cast("string"))),
         )
@@ -157,6 +158,12 @@ def lookup_requests(events: DataFrame) -> DataFrame:
     return events.select(F.explode(ids).alias("log_id"))
 
 
+def repeated_logs(events: DataFrame) -> DataFrame:
+    """The log store with a second copy of the logs with ``e % 5 = 0``."""
+    copies = F.explode(F.when(F.col("event_id") % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return render_logs(events.withColumn("copy", copies))
+
+
 def existing_store(events: DataFrame) -> DataFrame:
     """Store before the upsert: every log, processed when ``e % 4 = 0``."""
     e = F.col("event_id")
@@ -207,48 +214,35 @@ def deleted_log_ids(events: DataFrame) -> DataFrame:
 
 
 def results_with_violations(results: DataFrame, events: DataFrame) -> DataFrame:
-    """Result rows plus rows that break the store's constraints: unknown log
-    ids (``e % 50 = 0``), null match (``e % 37 = 0``) and a 51-character
-    regex id (``e % 41 = 0``)."""
+    """Result rows plus rows that break each of the store's constraints: unknown
+    log ids (``e % 50 = 0``), null log ids (``e % 43 = 0``), null regex ids
+    (``e % 47 = 0``), null line numbers (``e % 53 = 0``), null matches
+    (``e % 37 = 0``), 51-character regex ids (``e % 41 = 0``) and 256-character
+    log ids (``e % 59 = 0``)."""
     e = F.col("event_id")
-    bad = events.select(
-        F.explode(
-            F.array_compact(
-                F.array(
-                    F.when(
-                        e % 50 == 0,
-                        F.struct(
-                            F.concat(F.lit("log_missing_"), e.cast("string")).alias("log_id"),
-                            F.lit("LOG_TYPE_INFO").alias("regex_id"),
-                            F.lit(1).alias("line_number"),
-                            F.lit("x").alias("match"),
-                            F.lit(None).cast("string").alias("line_content"),
-                        ),
-                    ),
-                    F.when(
-                        e % 37 == 0,
-                        F.struct(
-                            log_id_of(e).alias("log_id"),
-                            F.lit("LOG_TYPE_INFO").alias("regex_id"),
-                            F.lit(1).alias("line_number"),
-                            F.lit(None).cast("string").alias("match"),
-                            F.lit(None).cast("string").alias("line_content"),
-                        ),
-                    ),
-                    F.when(
-                        e % 41 == 0,
-                        F.struct(
-                            log_id_of(e).alias("log_id"),
-                            F.lit("X" * 51).alias("regex_id"),
-                            F.lit(1).alias("line_number"),
-                            F.lit("x").alias("match"),
-                            F.lit(None).cast("string").alias("line_content"),
-                        ),
-                    ),
-                )
-            )
-        ).alias("r")
-    ).select("r.*")
+
+    def row(every: int, log_id=None, regex_id="LOG_TYPE_INFO", line_number=1, match="x") -> Column:
+        fields = (
+            (log_id_of(e) if log_id is None else log_id).cast("string").alias("log_id"),
+            F.lit(regex_id).cast("string").alias("regex_id"),
+            F.lit(line_number).cast("int").alias("line_number"),
+            F.lit(match).cast("string").alias("match"),
+            F.lit(None).cast("string").alias("line_content"),
+        )
+        return F.when(e % every == 0, F.struct(*fields))
+
+    rows = F.array_compact(
+        F.array(
+            row(50, log_id=F.concat(F.lit("log_missing_"), e.cast("string"))),
+            row(43, log_id=F.lit(None)),
+            row(47, regex_id=None),
+            row(53, line_number=None),
+            row(37, match=None),
+            row(41, regex_id="X" * 51),
+            row(59, log_id=F.rpad(log_id_of(e), 256, "y")),
+        )
+    )
+    bad = events.select(F.explode(rows).alias("r")).select("r.*")
     return results.select("log_id", "regex_id", "line_number", "match", "line_content").unionByName(bad)
 
 

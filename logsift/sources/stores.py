@@ -18,13 +18,18 @@ import os
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from .tables import LOGS_SCHEMA, RESULTS_SCHEMA
 
 DEFAULT_BUCKETS = 1024
 BUCKET_COL = "bucket"
+# So many ids are looked up as values, which reach the Parquet reader.
+POINT_IDS = 10
+# Files are sorted by log_id. Small row groups keep a point lookup small, and a Bloom
+# filter on log_id leaves out those whose range holds an id that they lack.
+ROW_GROUP_BYTES = 16 << 20
 
 
 def bucket_of(log_id, bucket_count: int) -> Column:
@@ -37,6 +42,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 @dataclass(frozen=True)
 class StoreTable:
     """A bucketed table: where it lives and how many buckets it has."""
@@ -77,6 +87,11 @@ class StoreTable:
         return [b for b in buckets if b in present]
 
 
+def _writer(rows: DataFrame) -> DataFrameWriter:
+    out = rows.write.option("parquet.block.size", str(ROW_GROUP_BYTES))
+    return out.option("parquet.bloom.filter.enabled#log_id", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+
+
 def write_bucketed(
     df: DataFrame,
     path: str,
@@ -87,16 +102,14 @@ def write_bucketed(
     """Write ``df`` partitioned by bucket, ``files_per_bucket`` files per
     bucket (raise it with the table size so files stay a few hundred MB)."""
     sub = F.pmod(F.xxhash64(F.col("log_id"), F.lit(1)), F.lit(files_per_bucket))
-    (
+    rows = (
         df.withColumn(BUCKET_COL, bucket_of("log_id", bucket_count))
         .withColumn("_sub", sub)
         .hint("rebalance", BUCKET_COL, "_sub")
         .drop("_sub")
         .sortWithinPartitions("log_id")
-        .write.mode("overwrite")
-        .partitionBy(BUCKET_COL)
-        .parquet(path)
     )
+    _writer(rows).mode("overwrite").partitionBy(BUCKET_COL).parquet(path)
     return StoreTable(path, bucket_count, schema)
 
 
@@ -104,14 +117,8 @@ def append_bucketed(df: DataFrame, table: StoreTable) -> None:
     """Add rows to a bucketed table as new files (nothing is rewritten). The
     rebalance groups rows by bucket and lets adaptive execution split a
     bucket that a hot log id makes large, so no task writes it alone."""
-    (
-        df.withColumn(BUCKET_COL, bucket_of("log_id", table.bucket_count))
-        .hint("rebalance", BUCKET_COL)
-        .sortWithinPartitions("log_id")
-        .write.mode("append")
-        .partitionBy(BUCKET_COL)
-        .parquet(table.path)
-    )
+    rows = df.withColumn(BUCKET_COL, bucket_of("log_id", table.bucket_count)).hint("rebalance", BUCKET_COL)
+    _writer(rows.sortWithinPartitions("log_id")).mode("append").partitionBy(BUCKET_COL).parquet(table.path)
 
 
 def write_version(df: DataFrame, base: str, bucket_count: int = DEFAULT_BUCKETS, schema: str = LOGS_SCHEMA) -> StoreTable:
@@ -149,13 +156,8 @@ def rewrite_buckets(spark: SparkSession, table: StoreTable, buckets: list[int],
     idempotent, so a retry completes it."""
     current = table.read_buckets(spark, buckets).drop(BUCKET_COL)
     staged = write_bucketed(transform(current), staging, table.bucket_count, schema=table.schema)
-    (
-        staged.read(spark)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET_COL)
-        .parquet(table.path)
-    )
+    swap = _writer(staged.read(spark)).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    swap.partitionBy(BUCKET_COL).parquet(table.path)
 
 
 def prune_to_buckets(store, ids: DataFrame, bucket_count: int) -> DataFrame:

@@ -218,3 +218,83 @@ def test_indexed_catalogue_equals_the_unrolled_one(spark):
     many = catalogue_index.match_indexed(cleaned, index)
     assert abs(plan_size(small) - plan_size(many)) < 200
     assert [r[0] for r in M.id_predicates("x", catalogue)] == list(dict.fromkeys(p.regex_id for p in catalogue))
+
+
+def test_batch_mode_stores_and_flags_pending_logs(spark, stores):
+    stores.match_pending()
+    assert state(stores) == (A + B, ["a", "b", "d"])
+    stores.match_pending()  # c is still pending, and still has no match
+    assert state(stores) == (A + B, ["a", "b", "d"])
+
+
+def test_command_line_stores_streams_and_folds(spark, stores, tmp_path):
+    from logsift.streaming.main import main
+
+    folder = str(tmp_path / "in")
+    for ids in (["a"], ["b", ""]):
+        spark.createDataFrame([(json.dumps({"log_id": i}),) for i in ids], "value string").write.mode("append").text(folder)
+        main(["stream", "--stores", stores.base, "--buckets", "4", "--events-dir", folder, "--checkpoint", str(tmp_path / "c"), "--available-now"], spark)
+    assert main(["fold", "--stores", stores.base, "--buckets", "4"], spark).version == 2
+    assert state(stores) == (A + B, ["a", "b", "d"])
+    with pytest.raises(SystemExit):
+        main(["stream", "--store", "x"], spark)
+
+
+def test_statistics_from_partial_counts(spark, tmp_path, monkeypatch):
+    from logsift.plans import maintenance as m
+
+    rows = [(f"l{k}", f"[ERROR] {k}" if k % 3 else "[INFO] x", False) for k in range(40)]
+    none = spark.createDataFrame([], "log_id string, regex_id string, line_number int, match string, line_content string")
+    stores = m.LogStores.create(str(tmp_path / "s"), logs(spark, rows), none, bucket_count=8)
+    results = store.results_rows(matching.match_lines(logs(spark, rows)))
+
+    def same():
+        want = stats.stats_json(stores.read_logs(spark), stores.read_results(spark)).first()
+        assert m.stored_stats(spark, stores).first() == want
+        return want
+
+    assert same().total_logs == 40
+    more = [(f"l{k}", "s", None, "new", k) for k in range(35, 50)]
+    stores = m.post_logs(spark, stores, spark.createDataFrame(more, "log_id string, source string, timestamp timestamp_ntz, content string, seq long"))
+    assert same().total_logs == 50
+    stores, _ = m.post_results(spark, stores, results.where("log_id < 'l3'"))
+    assert same().processed_logs == 23
+    stores = m.delete_logs(spark, stores, spark.createDataFrame([(f"l{k}",) for k in range(0, 50, 2)], "log_id string"))
+    assert same().total_logs == 25
+    # A job that is lost after it changed the stores.
+    with monkeypatch.context() as lost:
+        lost.setattr(m, "count_buckets", lambda *_: None)
+        stores, _ = m.post_results(spark, stores, results.where("log_id = 'l39'"))
+    assert same().total_matches > 0
+    plan = m.stored_stats(spark, stores)
+    assert all("/stats/counts/" in f for f in plan.inputFiles())
+
+
+def test_few_ids_read_few_row_groups(spark, tmp_path, monkeypatch):
+    from logsift.sources import stores as st
+
+    monkeypatch.setattr(st, "ROW_GROUP_BYTES", 64 << 10)
+    frame = spark.range(40_000).select(F.format_string("log_%08d", "id").alias("log_id"), F.lit("s").alias("source"), F.lit(None).cast("timestamp_ntz").alias("timestamp"), F.sha2(F.col("id").cast("string"), 512).alias("content"), F.lit(False).alias("processed"))
+    table = st.write_bucketed(frame, str(tmp_path / "logs"), 2)
+    ids = spark.createDataFrame([(f"log_{k * 3999:08d}",) for k in range(9)] + [("log_none",)], "log_id string")
+    found = lookup.log_by_id(table, ids)
+    assert sorted(r.log_id for r in found.collect()) == sorted(f"log_{k * 3999:08d}" for k in range(9))
+
+    def rows_read(df):
+        df.collect()
+        node, todo, n = None, [df._jdf.queryExecution().executedPlan()], 0
+        while todo:
+            node = todo.pop()
+            if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+                node = node.executedPlan()
+            if node.getClass().getSimpleName() == "FileSourceScanExec" and "content" in node.schema().toString():
+                n += node.metrics().apply("numOutputRows").value()
+            if hasattr(node, "plan") and node.getClass().getSimpleName().endswith("QueryStageExec"):
+                todo.append(node.plan())
+            children = node.children()
+            todo += [children.apply(i) for i in range(children.size())]
+        return n
+
+    few = rows_read(found)
+    monkeypatch.setattr(lookup, "POINT_IDS", 0)
+    assert 9 <= few < 20_000 < rows_read(lookup.log_by_id(table, ids))
