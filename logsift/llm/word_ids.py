@@ -23,7 +23,7 @@ from itertools import chain, islice
 import numpy as np
 
 #: Bytes of kept words and their ids in one generation, with an entry's overhead.
-KEPT_BYTES, ENTRY_BYTES = 100 << 20, 230
+KEPT_BYTES, ENTRY_BYTES = 120 << 20, 220
 #: Longer words are encoded but not kept.
 KEPT_LENGTH = 64
 #: Characters of texts that are cut into words at once.
@@ -34,6 +34,15 @@ JOINED = 1024
 STOPS = frozenset(".,;:!?)")
 
 
+def _latin(text: str) -> bool:
+    """Whether a text has characters of Latin-1 only."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class WordIds:
     """Encoder of one vocabulary file; ``width`` is the bytes of an id."""
 
@@ -52,6 +61,7 @@ class WordIds:
         cut = [p for p, _ in pre.pre_tokenize_str("ab c,\nd")] if pre is not None else []
         self.alone = cut == ["ab", "c", ",", "d"]
         self.spaced = cut == ["ab", "Ġc", ",", "Ċ", "d"] and self.tokenizer.normalizer is None
+        self.small = self.alone and self.whole(["WORD Éß"]) == self.whole(["word éß"])
         # Tokens at which a word starts (byte level) or ends (word ends).
         edge = np.zeros(size, dtype=bool)
         for token, number in self.tokenizer.get_vocab().items():
@@ -80,11 +90,18 @@ class WordIds:
         if not (self.alone or self.spaced):
             return self.whole(texts)
         out: list[bytes] = [b""] * len(texts)
-        cut, plain = [], []
+        cut, plain, latin = [], [], True
         for k, text in enumerate(texts):
             if any(s in text for s in self.special):
                 plain.append(k)
-            elif self.alone:
+                continue
+            narrow = _latin(text)
+            latin &= narrow
+            if self.alone:
+                # The vocabulary has small letters only. Latin-1 has no composing
+                # marks, so it makes no difference when they are made small.
+                if narrow and self.small and "<|" not in text:
+                    text = text.lower()
                 cut.append((k, text.replace("\n", " ").split(" ")))
             else:
                 words = text.replace("\n", " \n").split(" ")
@@ -97,12 +114,12 @@ class WordIds:
         wanted = set(chain.from_iterable(w for _, w in cut))
         if self.spaced:
             # White space after a word takes part in what follows it.
-            uneven = {w for w in wanted if w and w[-1].isspace()}
+            uneven = {w for w in wanted if w[-1:].isspace()}
             if uneven:
                 plain += [k for k, w in cut if not uneven.isdisjoint(w)]
                 cut = [(k, w) for k, w in cut if uneven.isdisjoint(w)]
                 wanted = set(chain.from_iterable(w for _, w in cut))
-        long = self._know(wanted)
+        long = self._know(wanted, latin)
         known = self.young
         first = len(self.line_end) if self.spaced else 0
         for k, words in cut:
@@ -123,38 +140,33 @@ class WordIds:
             self._line_end = self.whole(["\n"])[0]
         return self._line_end
 
-    def _know(self, wanted: set[str]) -> list[str]:
-        """Have every wanted word in ``young``; those not to be kept are returned."""
+    def _know(self, wanted: set[str], latin: bool) -> list[str]:
+        """Have every wanted word in ``young``; those not to be kept are returned.
+        ``latin``: all of them are of Latin-1 letters."""
         young, old = self.young, self.old
-        wanted -= young.keys()
-        again = wanted & old.keys()
-        for w in again:
-            young[w] = old[w]
+        wanted = wanted.difference(young)
+        again = {w for w in wanted if w in old}
+        young.update((w, old[w]) for w in again)
         missing = wanted - again
         young[""] = b""
         missing.discard("")
-        # A word of Latin letters with a stop behind it is two tokens' worth.
-        stems: set[str] = set()
-        rest: list[str] = []
-        ended: list[tuple[str, str]] = []
-        for w in missing:
-            if w.isalpha() and max(w) < "ɐ":
-                stems.add(w)
-            elif w[-1] in STOPS and (stem := w[:-1]).isalpha() and max(stem) < "ɐ":
-                ended.append((w, stem))
-                if stem not in young:
-                    stems.add(stem)
-            else:
-                rest.append(w)
+        # A word of Latin letters is one pre-token; with a stop behind it, two.
+        stems = {w for w in missing if w.isalpha() and (latin or _latin(w))}
+        rest = missing - stems
+        ended = [w for w in rest if w[-1] in STOPS and w[:-1].isalpha() and (latin or _latin(w))]
+        rest.difference_update(ended)
+        stems.update(w[:-1] for w in ended)
+        stems = stems.difference(young)
         self._stems(list(stems))
-        self._each(rest)
+        self._each(list(rest))
         if ended:
             stop = dict(zip(STOPS, self.whole(list(STOPS)), strict=True))
-            for w, stem in ended:
-                young[w] = young[stem] + stop[w[-1]]
-        added = chain(again, missing, stems)
-        self.held += sum(len(w) + len(young[w]) + ENTRY_BYTES for w in added)
-        return [w for w in chain(missing, stems - missing) if len(w) > KEPT_LENGTH]
+            young.update((w, young[w[:-1]] + stop[w[-1]]) for w in ended)
+        added = missing | stems
+        self.held += ENTRY_BYTES * (len(added) + len(again)) + 2 * (sum(map(len, added)) + sum(map(len, again)))
+        if max(map(len, added), default=0) <= KEPT_LENGTH:
+            return []
+        return [w for w in added if len(w) > KEPT_LENGTH]
 
     def _text(self, word: str) -> str:
         return word if self.alone or word[0] == "\n" else " " + word
