@@ -27,11 +27,13 @@ from pyspark.sql import functions as F
 from logsift.llm.common import materialise, small_batches, text_of
 from logsift.llm.config_lp import Run, bins
 from logsift.llm.word_ids import word_ids
-from logsift.operators.joins import MAX_BROADCAST_KEYS, at_most
+from logsift.operators.joins import at_most
 
 CAPACITY, END_ID = 4096, 1
 RANK_BITS = 48
-PIECE = "piece integer, start long, length integer, part integer, nth long, width integer, ids binary"
+PIECE = "piece integer, start long, length integer, part integer, nth long, ids_crc32 long, width integer, ids binary"
+#: Rows (of three numbers) that may be broadcast: a task and a length each.
+FEW_ROWS = 100_000
 
 
 def vocabulary_path() -> str:
@@ -42,7 +44,8 @@ def vocabulary_path() -> str:
 
 def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """One row for each piece: doc_id, piece, start, length, its ids (little-endian,
-    ``width`` bytes each), the task that made it and its rank there (see above)."""
+    ``width`` bytes each) and the crc32 of them as 32-bit integers, the task that
+    made it and its rank there (see above)."""
     small_batches(docs.sparkSession)
     vocabulary = vocabulary or vocabulary_path()
     rows = docs.select("doc_id", text_of().alias("text"))
@@ -55,20 +58,22 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
         end, step = END_ID.to_bytes(width, "little"), capacity * encoder.width
         ranks: Counter = Counter()
         for b in batches:
-            owner, cols = [], ([], [], [], [], [])
+            owner, cols = [], ([], [], [], [], [], [])
             for k, ids in enumerate(encoder.batch(b.column("text").to_pylist())):
                 ids += end
                 for n, at in enumerate(range(0, len(ids), step)):
                     cut = ids[at : at + step]
                     length = len(cut) // width
                     owner.append(k)
-                    for column, v in zip(cols, (n, at // width, length, ranks[length], cut), strict=True):
+                    crc = zlib.crc32(np.frombuffer(cut, encoder.kind).astype("<u4"))
+                    for column, v in zip(cols, (n, at // width, length, ranks[length], crc, cut), strict=True):
                         column.append(v)
                     ranks[length] += 1
-            piece, start, length, nth, cut = cols
+            piece, start, length, nth, crc, cut = cols
             same = lambda v: pa.array([v] * len(owner), pa.int32())
             arrays = [b.column("doc_id").take(pa.array(owner, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64())]
-            arrays += [pa.array(length, pa.int32()), same(part), pa.array(nth, pa.int64()), same(width), pa.array(cut, pa.binary())]
+            arrays += [pa.array(length, pa.int32()), same(part), pa.array(nth, pa.int64()), pa.array(crc, pa.int64())]
+            arrays += [same(width), pa.array(cut, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     for c in PIECE.split(", "):
@@ -100,9 +105,9 @@ class Places:
         return self.sequence[at] + bin_, self.offset[at] + copy * length
 
 
-def packed(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """Every piece with its place: doc_id, piece, start, length, ids (and their
-    ``width`` in bytes), sequence_id, offset.
+def packed(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
+    """Every piece with its place: doc_id, piece, start, length, ids_crc32, ids (and
+    their ``width`` in bytes; only ``with_ids``), sequence_id, offset.
 
     A null text counts as empty, so every document has an id at least; a null
     doc_id stays null; repeated rows are documents of their own. An empty table
@@ -118,9 +123,10 @@ def packed(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
     # A row a task for each length: as many as the pieces were written by.
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     begins = sizes.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("begin"))
-    few = at_most(sizes, MAX_BROADCAST_KEYS)
+    few = at_most(sizes, FEW_ROWS)
     ranked = cut.join(F.broadcast(begins) if few else begins, ["length", "part"])
-    rows = ranked.select("doc_id", "piece", "start", "length", "width", "ids", (F.col("begin") + F.col("nth")).alias("rank"))
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32", *(["width", "ids"] if with_ids else [])]
+    rows = ranked.select(*columns, (F.col("begin") + F.col("nth")).alias("rank"))
     schema = rows.drop("rank").schema.add("sequence_id", "long").add("offset", "long")
 
     def run(batches):
@@ -143,15 +149,5 @@ def sequences(docs: DataFrame, vocabulary: str | None = None, capacity: int = CA
 
 def digests(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every
-    piece of ``packed``; the digest is of its ids as 32-bit integers."""
-    rows = packed(docs, vocabulary, capacity).select("doc_id", "piece", "start", "length", "sequence_id", "offset", "width", "ids")
-    schema = rows.drop("width", "ids").schema.add("ids_crc32", "long")
-
-    def run(batches):
-        for b in batches:
-            widths = b.column("width").to_pylist()
-            wide = (np.frombuffer(i, f"<u{w}").astype("<u4") for i, w in zip(b.column("ids").to_pylist(), widths, strict=True))
-            sums = pa.array([zlib.crc32(i.tobytes()) for i in wide], pa.int64())
-            yield pa.RecordBatch.from_arrays([*b.columns[:-2], sums], names=schema.names)
-
-    return rows.mapInArrow(run, schema)
+    piece of ``packed``."""
+    return packed(docs, vocabulary, capacity, with_ids=False)

@@ -139,8 +139,8 @@ def test_packing_equals_the_library(spark, capacity, monkeypatch):
             cut = np.array(ids[at : at + capacity], "<u4")
             expected.append((i, n, at, len(cut), zlib.crc32(cut.tobytes())))
     frame = spark.createDataFrame(docs, DOCS).withColumns({c: F.lit(1) for c in ("piece", "length", "part", "ids", "nth", "n", "begin")})
-    for keys in (packing.MAX_BROADCAST_KEYS, 0):
-        monkeypatch.setattr(packing, "MAX_BROADCAST_KEYS", keys)
+    for few in (packing.FEW_ROWS, 0):
+        monkeypatch.setattr(packing, "FEW_ROWS", few)
         rows = packing.digests(frame.repartition(5), capacity=capacity).collect()
         assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows), key=repr) == sorted(expected, key=repr)
         places = collections.defaultdict(list)
