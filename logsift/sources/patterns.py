@@ -265,12 +265,13 @@ def from_frame(df: DataFrame, id_col: str = "regexId", pattern_col: str = "patte
     passes through the driver, whatever its length."""
     if "position" in df.columns:
         df = df.orderBy("position")
-    rows = df.select(id_col, pattern_col).collect()
-    return catalogue([(r[0], r[1]) for r in rows])
+    names = ["fields"] if "fields" in df.columns else []
+    rows = df.select(id_col, pattern_col, *names).collect()
+    return catalogue([Pattern(r[0], r[1], tuple(r[2] or ()) if names else ()) for r in rows])
 
 
 def to_frame(spark: SparkSession, patterns: list[Pattern]) -> DataFrame:
     return spark.createDataFrame(
-        [(i, p.regex_id, p.pattern) for i, p in enumerate(patterns)],
-        "position int, regexId string, pattern string",
+        [(i, p.regex_id, p.pattern, list(p.fields)) for i, p in enumerate(patterns)],
+        "position int, regexId string, pattern string, fields array<string>",
     )
