@@ -104,10 +104,11 @@ class WordIds:
                     text = text.lower()
                 cut.append((k, text.replace("\n", " ").split(" ")))
             else:
-                words = text.replace("\n", " \n").split(" ")
-                if "" in words[1:] or words[0][:1].isspace():
-                    plain.append(k)  # two spaces, or a space before a line end
+                text = text.replace("\n", " \n")
+                if "  " in text or text[-1:] == " " or text[:1].isspace() and text[:2] != " \n":
+                    plain.append(k)  # two spaces, or a space at an end or before a line end
                 else:
+                    words = text.split(" ")
                     # The text's first word has no space before it.
                     words[0] = "\n" + words[0] if words[0] else ""
                     cut.append((k, words))
@@ -153,11 +154,16 @@ class WordIds:
         # A word of Latin letters is one pre-token; with a stop behind it, two.
         stems = {w for w in missing if w.isalpha() and (latin or _latin(w))}
         rest = missing - stems
+        if self.spaced:
+            # The space before it marks the first token of any word in a text.
+            lines = {w for w in rest if w[0] == "\n"}
+            self._joined(list(rest - lines))
+            rest = lines
         ended = [w for w in rest if w[-1] in STOPS and w[:-1].isalpha() and (latin or _latin(w))]
         rest.difference_update(ended)
         stems.update(w[:-1] for w in ended)
         stems = stems.difference(young)
-        self._stems(list(stems))
+        self._joined(list(stems))
         self._each(list(rest))
         if ended:
             stop = dict(zip(STOPS, self.whole(list(STOPS)), strict=True))
@@ -174,21 +180,20 @@ class WordIds:
     def _each(self, words: list[str]) -> None:
         self.young.update(zip(words, self.whole([self._text(w) for w in words]), strict=True))
 
-    def _stems(self, words: list[str]) -> None:
-        """Words that are one pre-token each: many are encoded as one text, whose
-        ids are cut where a token starts or ends a word."""
+    def _joined(self, words: list[str]) -> None:
+        """Words of which a token tells that a word starts or ends there: many are
+        encoded as one text, whose ids are cut at these tokens."""
         todo = iter(words)
         while some := list(islice(todo, JOINED)):
             joined = " ".join(some) if self.alone else " " + " ".join(some)
-            ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, dtype=self.kind)
+            ids = np.frombuffer(self.whole([joined])[0], dtype=self.kind)
             at = np.flatnonzero(self.edge[ids])
             if len(at) != len(some):
                 self._each(some)
                 continue
             begins = np.concatenate(([0], at[:-1] + 1)) if self.alone else at
             marks = [*(begins * self.width).tolist(), len(ids) * self.width]
-            raw = ids.tobytes()
-            self.young.update((w, raw[a:b]) for w, a, b in zip(some, marks, marks[1:]))
+            self.young.update(zip(some, map(ids.tobytes().__getitem__, map(slice, marks, marks[1:]))))
 
 
 @lru_cache(maxsize=2)
