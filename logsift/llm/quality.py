@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logsift.llm.common import WORD_SPACE, materialise, text_of
+from logsift.operators.joins import at_most
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -35,6 +36,9 @@ STEPS = 5
 #: Groups with fewer documents that pass the base rules are estimated together,
 #: by language, and languages with fewer all together.
 MIN_GROUP = 100
+#: Groups whose estimates may be broadcast (about 300 bytes each); with more the
+#: joins shuffle.
+FEW_GROUPS = 100_000
 #: A clean document is rejected with this probability if its statistics are normal.
 REJECT = 1e-6
 #: Transformed statistics and the least standard deviation of each.
@@ -161,20 +165,27 @@ def _estimate(rows: DataFrame, factor: float) -> DataFrame:
     return _factored(out.selectExpr("*", *means, *[f"{c} AS c_{i}_{j}" for (i, j), c in cov.items()]))
 
 
-def _start(rows: DataFrame) -> DataFrame:
+def _sent(table: DataFrame, few: bool) -> DataFrame:
+    """A table of a row a group for a join: with few groups (counted) the rows stay
+    where they are, so a hot group is as spread as the table that it is in."""
+    return F.broadcast(table) if few else table
+
+
+def _start(rows: DataFrame, few: bool) -> DataFrame:
     """Medians, and median deviations as a diagonal covariance."""
     centre = rows.groupBy("pool").agg(*[F.expr(f"percentile(z_{s}, 0.5D) AS m_{i}") for i, s in enumerate(STATS)])
     away = [f"percentile(abs(z_{s} - m_{i}), 0.5D) AS a_{i}" for i, s in enumerate(STATS)]
     away += [f"first(m_{i}) AS m_{i}" for i in range(D)]
-    spread = rows.join(centre, "pool").groupBy("pool").agg(*map(F.expr, away))
+    spread = rows.join(_sent(centre, few), "pool").groupBy("pool").agg(*map(F.expr, away))
     cov = {(i, j): "0D" for i, j in PAIRS}
     cov |= {(i, i): f"pow(a_{i} * 1.4826D, 2D) + {(FLOORS[s] * UNIT) ** 2!r}D" for i, s in enumerate(STATS)}
     return _factored(spread.selectExpr("*", *[f"{c} AS c_{i}_{j}" for (i, j), c in cov.items()]))
 
 
-def estimates(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(pools, estimates): the pool of each (lang, source), and each pool's
-    centre and scatter. ``stats`` needs lang, source, q_failed and z_*."""
+def estimates(stats: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
+    """(pools, estimates, few): the pool of each (lang, source), each pool's
+    centre and scatter, and whether there are few groups. ``stats`` needs lang,
+    source, q_failed and z_*."""
     passed = stats.where("not q_failed")
     sizes = stats.groupBy("lang", "source").agg(F.count_if(~F.col("q_failed")).alias("n"))
     name = lambda *c: F.to_json(F.struct(*c), {"ignoreNullFields": "false"})
@@ -184,27 +195,28 @@ def estimates(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
     pools = materialise(
         sizes.join(by_lang, F.col("lang").eqNullSafe(F.col("of")), "left").select("lang", "source", pool.alias("pool")), "pools"
     )
-    rows = materialise(_pooled(passed, pools).select("pool", *[f"z_{s}" for s in STATS]), "vectors")
-    estimate = materialise(_start(rows), "estimate")
+    few = at_most(pools, FEW_GROUPS)
+    rows = materialise(_pooled(passed, pools, few).select("pool", *[f"z_{s}" for s in STATS]), "vectors")
+    estimate = materialise(_start(rows, few), "estimate")
     for _ in range(STEPS):
-        at = rows.join(estimate, "pool").select("pool", *[f"z_{s}" for s in STATS], _level(_distance()).alias("level"))
+        at = rows.join(_sent(estimate, few), "pool").select("pool", *[f"z_{s}" for s in STATS], _level(_distance()).alias("level"))
         bound = at.groupBy("pool").agg(F.percentile("level", F.lit(SHARE)).alias("bound"))
-        near = at.join(bound, "pool").where("level <= bound")
+        near = at.join(_sent(bound, few), "pool").where("level <= bound")
         estimate = materialise(_estimate(near, consistency(SHARE)), "estimate")
-    near = rows.join(estimate, "pool").where(_distance() <= chi2_quantile(0.975, D))
-    return pools, materialise(_estimate(near, consistency(0.975)), "estimate")
+    near = rows.join(_sent(estimate, few), "pool").where(_distance() <= chi2_quantile(0.975, D))
+    return pools, materialise(_estimate(near, consistency(0.975)), "estimate"), few
 
 
-def _pooled(rows: DataFrame, pools: DataFrame) -> DataFrame:
+def _pooled(rows: DataFrame, pools: DataFrame, few: bool) -> DataFrame:
     names = pools.select(F.col("lang").alias("p_lang"), F.col("source").alias("p_source"), "pool")
     on = F.col("lang").eqNullSafe(F.col("p_lang")) & F.col("source").eqNullSafe(F.col("p_source"))
-    return rows.join(names, on).drop("p_lang", "p_source")
+    return rows.join(_sent(names, few), on).drop("p_lang", "p_source")
 
 
-def _judged(rows: DataFrame, pools: DataFrame, estimate: DataFrame) -> DataFrame:
+def _judged(rows: DataFrame, pools: DataFrame, estimate: DataFrame, few: bool) -> DataFrame:
     """``rows`` with q_kept. A pool without an estimate rejects nothing more."""
     far = F.coalesce(_distance() > chi2_quantile(1 - REJECT, D), F.lit(False))
-    judged = _pooled(rows, pools).join(estimate, "pool", "left")
+    judged = _pooled(rows, pools, few).join(_sent(estimate, few), "pool", "left")
     # One condition over both sides of the join: as two, Spark would move the
     # first below and compute the statistics a second time there.
     return judged.withColumn("q_kept", F.when(F.col("q_failed"), F.lit(False)).otherwise(~far))
