@@ -1,11 +1,15 @@
 """URL filters by association rules (operator 2).
 
 Fixed rules (host, path) decide first. For the other URLs, FP-growth mines
-token combinations of labelled URLs: an item set that holds the item ``bad``
-and is frequent enough gives the rule "these tokens -> bad", kept if its
-confidence is high enough and no shorter kept rule is part of it. Rules are
-matched by an inverted index: each rule stands under its rarest token, and the
-distinct token sets of the URLs look their tokens up in it.
+token combinations of the bad ones among the labelled URLs. The sets that ``MIN_COUNT``
+bad URLs hold are counted again on all labelled rows, and a set gives the rule
+"these tokens -> bad" if its confidence is high enough and no shorter kept rule is
+part of it. Rules are matched by an inverted index, for the recount and for the
+URLs alike: each set stands under its rarest token, and the distinct token sets of
+the URLs look their tokens up in it.
+
+The least count is a number of URLs and no share of them, so what makes a rule does
+not depend on the size of the table.
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logsift.llm.common import materialise
+from logsift.operators.skew import expand_counts
 
 #: (host, path, verdict): a rule fits its host and all subdomains if the path
 #: starts with its own; the longest decides.
@@ -24,12 +29,10 @@ RULES = [
     ("example.com", "/de/", "block"),
     ("org", "/fr/", "allow"),
 ]
-#: Least number of labelled URLs behind a rule, and as a share of them.
-MIN_COUNT, MIN_SUPPORT = 20, 0.0005
+#: Least number of bad labelled URLs behind a rule, and least share of bad ones
+#: among the labelled URLs that hold its tokens.
+MIN_COUNT = 20
 MIN_CONFIDENCE = 0.8
-#: Labelled URLs that the rules are mined from, chosen by a hash of the id.
-LABELLED_URLS = 1_000_000
-BAD = "bad"
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -52,10 +55,11 @@ def rule_verdict(host: Column, path: Column) -> Column:
 
 
 def url_tokens(host: Column, path: Column, url: Column) -> Column:
-    """Distinct tokens, sorted: labels of the host and their words, path
-    segments in their order (numbers as #), ending, and names in the query."""
+    """Distinct tokens, sorted: labels of the host, the words of those that have
+    several, path segments in their order (numbers as #), and names in the query."""
     labels = F.transform(F.split(host, r"\."), lambda x: F.concat(F.lit("h:"), x))
-    words = F.transform(F.split(host, r"[.\-]"), lambda x: F.concat(F.lit("w:"), x))
+    several = F.filter(F.split(host, r"\."), lambda x: x.contains("-"))
+    words = F.transform(F.flatten(F.transform(several, lambda x: F.split(x, "-"))), lambda x: F.concat(F.lit("w:"), x))
     masked = F.transform(F.split(path, "/"), lambda x: F.regexp_replace(x, r"[0-9]+", "#"))
     segments = F.transform(masked, lambda x, i: F.concat(F.lit("p"), i.cast("string"), F.lit(":"), x))
     query = F.regexp_extract(url, r"(?s)\?([^#]*)", 1)
@@ -64,50 +68,66 @@ def url_tokens(host: Column, path: Column, url: Column) -> Column:
     return F.sort_array(F.array_distinct(F.filter(every, lambda x: ~x.endswith(":"))))
 
 
+RULE_SCHEMA = "rule_id long, tokens array<string>, confidence double, support long"
+
+
+def frequent_sets(labelled: DataFrame) -> DataFrame:
+    """(tokens, support): the token sets that at least ``MIN_COUNT`` bad rows of
+    ``labelled`` (tokens, bad, n) hold, by FP-growth over the bad rows. Tokens that
+    are too rare are left out before."""
+    wrong = labelled.where("bad")
+    often = wrong.select("n", F.explode("tokens").alias("token")).groupBy("token").agg(F.sum("n").alias("f"))
+    often = often.where(F.col("f") >= MIN_COUNT).select("token")
+    # Equal token sets are one row of ``labelled``, so they name their baskets.
+    items = wrong.select("tokens", "n", F.explode("tokens").alias("token")).join(often, "token")
+    items = items.groupBy("tokens", "n").agg(F.collect_list("token").alias("items"))
+    # A basket is there as often as its row stands for, spread over the tasks.
+    baskets = materialise(expand_counts(items.select("items", "n"), "n", "items"), "baskets")
+    count = baskets.count()
+    if count < MIN_COUNT:
+        return baskets.sparkSession.createDataFrame([], "tokens array<string>, support long")
+    # A little under the least share, as shares are rounded.
+    model = FPGrowth(itemsCol="items", minSupport=(MIN_COUNT - 0.5) / count, minConfidence=1.0).fit(baskets)
+    sets = model.freqItemsets.where(F.col("freq") >= MIN_COUNT)
+    return sets.select(F.sort_array("items").alias("tokens"), F.col("freq").alias("support"))
+
+
 def mine_rules(labelled: DataFrame) -> DataFrame:
     """(rule_id, tokens, confidence, support) from labelled rows (tokens, bad)."""
-    n = labelled.count()
-    schema = "rule_id long, tokens array<string>, confidence double, support long"
-    if n == 0:
-        return labelled.sparkSession.createDataFrame([], schema)
-    baskets = labelled.select(
-        F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens")).alias("items")
-    )
-    least = max(MIN_SUPPORT, MIN_COUNT / n)
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, least), minConfidence=MIN_CONFIDENCE).fit(baskets)
-    # Of a frequent set with the item bad, the count over that of the set without it.
-    sets = model.freqItemsets.select(F.sort_array("items").alias("items"), "freq")
-    with_bad = sets.where(F.array_contains("items", BAD) & (F.size("items") > 1))
-    bad = with_bad.select(F.array_remove("items", BAD).alias("tokens"), F.col("freq").alias("support"))
-    rules = bad.join(sets, F.col("tokens") == F.col("items")).select(
-        "tokens", (F.col("support") / F.col("freq")).alias("confidence"), "support"
-    )
-    rules = rules.where((F.col("confidence") >= MIN_CONFIDENCE) & (F.col("support") >= MIN_COUNT))
-    rules = materialise(rules.withColumn("rule_id", F.xxhash64("tokens")).select(*[c.split()[0] for c in schema.split(", ")]), "rules")
+    spark = labelled.sparkSession
+    counted = materialise(labelled.groupBy("tokens", "bad").agg(F.count("*").alias("n")), "labelled")
+    sets = materialise(frequent_sets(counted).withColumn("rule_id", F.xxhash64("tokens")), "sets")
+    if sets.isEmpty():
+        return spark.createDataFrame([], RULE_SCHEMA)
+    # All labelled rows that hold a set, good ones included.
+    held = _held(counted.select("tokens", "n"), sets.select("rule_id", F.col("tokens").alias("needed")), ["n"])
+    totals = held.groupBy("rule_id").agg(F.sum("n").alias("total"))
+    rules = sets.join(totals, "rule_id").withColumn("confidence", F.col("support") / F.col("total"))
+    rules = rules.where(F.col("confidence") >= MIN_CONFIDENCE).select("rule_id", "tokens", "confidence", "support")
+    rules = materialise(rules, "rules")
     # A rule with a kept rule's tokens among its own decides nothing more.
-    shorter = rules.select(F.explode("tokens").alias("token"), F.col("tokens").alias("part"))
-    longer = rules.select("rule_id", F.explode("tokens").alias("token"), "tokens")
-    implied = longer.join(shorter, "token").where(
-        (F.size("part") < F.size("tokens")) & (F.size(F.array_except("part", "tokens")) == 0)
-    )
-    return rules.join(implied.select("rule_id").distinct(), "rule_id", "left_anti")
+    parts = rules.select("rule_id", F.col("tokens").alias("needed"))
+    within = _held(rules.select("tokens", F.col("rule_id").alias("whole")), parts, ["whole"])
+    implied = within.where("rule_id <> whole").select(F.col("whole").alias("rule_id")).distinct()
+    return rules.join(implied, "rule_id", "left_anti")
 
 
-def blocked_sets(sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """The ``tokens`` of ``sets`` that a rule fits, each with its best rule."""
+def _held(sets: DataFrame, needed: DataFrame, carry: list[str]) -> DataFrame:
+    """(rule_id, needed, tokens, *carry): which sets (``tokens``) hold which of the
+    sets ``needed`` (rule_id, needed), by an index of the rarest token of each."""
     often = sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("often"))
-    listed = rules.select("rule_id", "confidence", F.col("tokens").alias("needed"), F.explode("tokens").alias("token"))
+    listed = needed.select("rule_id", F.explode("needed").alias("token"))
     rarest = listed.join(often, "token").groupBy("rule_id").agg(F.min(F.struct("often", "token")).alias("rarest"))
-    index = materialise(
-        listed.where(F.col("token") == F.get("needed", F.lit(0)))
-        .drop("token")
-        .join(rarest, "rule_id")
-        .select(F.col("rarest.token").alias("token"), "needed", "confidence"),
-        "index",
-    )
-    looked = sets.select("tokens", F.explode("tokens").alias("token")).join(index, "token")
-    fits = looked.where(F.size(F.array_except("needed", "tokens")) == 0)
-    return fits.groupBy("tokens").agg(F.max(F.struct("confidence", "needed")).alias("best"))
+    index = materialise(needed.join(rarest, "rule_id").select(F.col("rarest.token").alias("token"), "rule_id", "needed"), "index")
+    looked = sets.select("tokens", *carry, F.explode("tokens").alias("token")).join(index, "token")
+    return looked.where(F.size(F.array_except("needed", "tokens")) == 0).select("rule_id", "needed", "tokens", *carry)
+
+
+def blocked_sets(sets: DataFrame, rules: DataFrame) -> DataFrame:
+    """The ``tokens`` of ``sets`` that a rule fits, each with its best rule."""
+    fits = _held(sets, rules.select("rule_id", F.col("tokens").alias("needed")), [])
+    best = fits.join(rules.select("rule_id", "confidence"), "rule_id")
+    return best.groupBy("tokens").agg(F.max(F.struct("confidence", "needed")).alias("best"))
 
 
 def judge(pages: DataFrame, labels: DataFrame) -> DataFrame:
@@ -127,10 +147,7 @@ def judge(pages: DataFrame, labels: DataFrame) -> DataFrame:
     rows = materialise(rows, "urls")
     wrong = F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))
     named = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("page_id")).agg(F.max(wrong).alias("bad"))
-    labelled = rows.join(named, "page_id").select("tokens", "bad", F.xxhash64("page_id", "tokens").alias("h"))
-    if labelled.count() > LABELLED_URLS:
-        labelled = labelled.orderBy("h").limit(LABELLED_URLS)
-    rules = mine_rules(materialise(labelled.select("tokens", "bad"), "labelled"))
+    rules = mine_rules(rows.join(named, "page_id").select("tokens", "bad"))
     open_sets = rows.where("given is null").select("tokens").distinct()
     blocked = materialise(blocked_sets(materialise(open_sets, "sets"), rules), "blocked")
     found = rows.join(blocked.withColumnRenamed("tokens", "set"), F.col("tokens") == F.col("set"), "left")

@@ -269,3 +269,33 @@ def test_urls_and_pages(spark):
     assert got[10].verdict == got[64].verdict == "block" and got[70].verdict == "allow"
     html = spark.createDataFrame([(1, None, None), (None, "u", "<body><p>a b</p></body>")], "page_id long, url string, html string")
     assert key(map(tuple, html_extract.main_text(html).collect())) == key([(1, None, "", 0), (None, "u", "a b", 3)])
+
+
+def test_mined_rules_equal_counted_item_sets(spark):
+    rnd = random.Random(12)
+    hosts = ["big-shop.example.com", "pills.example.com", "news.site.de", "a.b.fr", "www.cheap-pills.biz"]
+    urls = []
+    for k in range(700):
+        host, path = rnd.choice(hosts), rnd.choice(["buy", "read", "pills", "about"])
+        urls.append((k, f"http://{host}/{path}/{k}?{rnd.choice(['ref', 'id'])}=1"))
+    bad = {k: "pills" in u or ("shop" in u and "buy" in u) or rnd.random() < 0.1 for k, u in urls if k % 5}
+    labels = spark.createDataFrame([(k, int(not b), 0) for k, b in bad.items()], "doc_id long, quality int, toxic int")
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    host, path = url_rules.parts(url_rules.F.col("url"))
+    tokens = {r.page_id: frozenset(r.t) for r in pages.select("page_id", url_rules.url_tokens(host, path, url_rules.F.col("url")).alias("t")).collect()}
+    held, wrong = collections.Counter(), collections.Counter()
+    for k, b in bad.items():
+        for n in range(1, len(tokens[k]) + 1):
+            for some in itertools.combinations(sorted(tokens[k]), n):
+                held[frozenset(some)] += 1
+                wrong[frozenset(some)] += b
+    good = {s for s, n in wrong.items() if n >= url_rules.MIN_COUNT and n / held[s] >= url_rules.MIN_CONFIDENCE}
+    rules = {s for s in good if not any(part < s for part in good)}
+    frame = spark.createDataFrame([(sorted(tokens[k]), b) for k, b in bad.items()], "tokens array<string>, bad boolean")
+    got = {frozenset(r.tokens): (r.support, r.confidence) for r in url_rules.mine_rules(frame).collect()}
+    assert got == {s: (wrong[s], wrong[s] / held[s]) for s in rules} and len(rules) > 2
+    blocked = {r.page_id for r in url_rules.judge(pages, labels).where("rule is null and verdict = 'block'").collect()}
+    assert blocked == {k for k, _ in urls if any(s <= tokens[k] for s in rules)} and 0 < len(blocked) < len(urls)
+    # Without labels, and without pages, nothing is mined.
+    assert url_rules.judge(pages, labels.limit(0)).where("verdict = 'block'").count() == 0
+    assert url_rules.judge(pages.limit(0), labels).collect() == []
