@@ -180,16 +180,25 @@ def keep_one(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataF
     a component has no doc_id, its first row by text stays."""
     # doc_id and text tell a row's component; a doc_id alone, null or repeated, does not.
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("\n"), text_of()))
-    keyed = docs.withColumn("k_key", key)
-    fps = materialise(fingerprints(keyed, words, key="k_key"), "fingerprints")
+    k_key, k_root = (_free(name, docs.columns) for name in ("k_key", "k_root"))
+    keyed = docs.withColumn(k_key, key)
+    fps = materialise(fingerprints(keyed, words, key=k_key), "fingerprints")
     found = fps.join(_named(fps, radius), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     # Written, so that rows with one doc_id and text can be split in the join.
-    chosen = materialise(found.select("k_key", F.col("root").alias("k_root")).distinct(), "chosen")
-    kept = keyed.join(chosen, "k_key")
-    once = kept.groupBy("k_root").agg(F.min(F.struct(*[F.col(c) for c in ordered(docs)])).alias("row"))
+    chosen = materialise(found.select(k_key, F.col("root").alias(k_root)).distinct(), "chosen")
+    kept = keyed.join(chosen, k_key)
+    once = kept.groupBy(k_root).agg(F.min(F.struct(*[F.col(c) for c in ordered(docs)])).alias("row"))
     return once.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
+def _free(name: str, taken: list[str]) -> str:
+    """``name``, lengthened until no column has it."""
+    lower = {c.lower() for c in taken}
+    while name in lower:
+        name += "_"
+    return name
+
+
 def ordered(df: DataFrame) -> list[str]:
     """Columns in the order that decides between rows with one doc_id."""
     first = [c for c in ("doc_id", "text") if c in df.columns]
