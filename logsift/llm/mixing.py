@@ -11,7 +11,10 @@ All sources are back in step after T slots, so T slots are worked out and every
 further block follows by arithmetic. DataFrame functions only. The default
 weights are rounded to 1 / T. Given targets are not: T is so large that the
 weights follow them to within ``1 / FINE`` of a block over the whole mix, and
-the slots of the mix are worked out.
+the slots of the mix are worked out. They are in parts of ``PART`` slots, which
+do not wait for each other: what earliest deadline first has laid out before a
+part follows from the windows that hold its first slot (``_begun``). A part
+holds one number for each source beside its own blocks.
 
 The mix goes on until every source has been laid out whole. A source that is
 short of its weight starts anew with its first block (``epoch`` counts), so no
@@ -35,7 +38,12 @@ BLOCK_DOCS = 16
 SLOTS = 1000
 #: Slots of T for each slot of the mix, where targets are given.
 FINE = 1000
-#: Slots whose picks are added to the others at once.
+#: Slots of a part. More if the longest window of a block has more slots, or 20
+#: times the number of sources is more.
+PART = 10_000
+#: Events of a part, gone through backwards.
+OPEN, SURE, SLOT = 1, 2, 3
+#: Events of the schedule whose picks are added to the others at once.
 CHUNK = 1000
 #: Default target: a source's share of the documents to this power, normalised,
 #: which lifts small sources and lowers large ones.
@@ -81,59 +89,172 @@ def _weights(sizes: DataFrame, targets: DataFrame | None) -> DataFrame:
 
 
 def _div(a: Column, b: Column) -> Column:
-    return F.call_function("div", a.cast("long"), b.cast("long"))
+    return F.call_function("div", a, b)
+
+
+def _product(a: Column, b: Column) -> Column:
+    # Blocks times slots pass 64 bits in mixes of some billion documents.
+    return a.cast("decimal(19,0)") * b.cast("decimal(19,0)")
 
 
 def release(j: Column, w: Column, t: Column) -> Column:
-    return _div(j * t, w)
+    return _div(_product(j, t), w.cast("decimal(19,0)"))
 
 
 def deadline(j: Column, w: Column, t: Column) -> Column:
-    return _div((j + 1) * t + w - 1, w)
+    return _div(_product(j + 1, t) + (w - 1).cast("decimal(19,0)"), w.cast("decimal(19,0)"))
+
 
+def released_before(u: Column, w: Column, t: Column) -> Column:
+    """Blocks that are released in a slot before ``u``."""
+    return _div(_product(u, w) + (t - 1).cast("decimal(19,0)"), t.cast("decimal(19,0)"))
 
-def _first_slots(weights: DataFrame) -> DataFrame:
-    """(idx, offsets): the slots of each source in the first t slots, or in as
-    many as the mix can have, earliest deadline first, as a fold over the slots."""
+
+def _parts(weights: DataFrame) -> DataFrame:
+    """The slots to work out, one row a part: first and last slot, t, and the
+    array of all sources (idx, w)."""
     one = weights.agg(
         F.sort_array(F.collect_list(F.struct("idx", "w"))).alias("sources"),
         F.max("t").alias("t"),
-        F.least(F.max("t"), F.max(deadline(F.col("b") - 1, F.col("w"), F.col("t")))).cast("int").alias("slots"),
+        F.least(F.max("t"), F.max(deadline(F.col("b") - 1, F.col("w"), F.col("t")))).alias("slots"),
+        F.max(deadline(F.lit(0), F.col("w"), F.col("t"))).alias("window"),
+    ).where("slots > 0")
+    one = one.withColumn("step", F.greatest(F.lit(PART), 20 * F.size("sources"), "window").cast("long"))
+    parts = one.withColumn("first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1, F.col("step"))))
+    parts = parts.withColumn("last", F.least(F.col("first") + F.col("step"), F.col("slots")) - 1)
+    return parts.select("first", "last", "t", "sources").repartition("first")
+
+
+def _key(due: Column, idx: Column) -> Column:
+    """Order of blocks: earliest deadline, then first source, as one number."""
+    return due * F.size("sources") + idx
+
+
+def _begun(parts: DataFrame) -> DataFrame:
+    """``parts`` with ``begun``: the keys of the blocks whose windows hold the
+    part's first slot and that are laid out before it.
+
+    A source has laid out floor(first * w / t) blocks, and maybe one more, its
+    open block. What earliest deadline first lays out in the slots before
+    ``first`` is the best set, by its order, that fits there: of the blocks
+    released at u or later no more than slots from u on. So time is gone
+    through backwards: a slot makes room for one open block, a sure block takes
+    it, and when there is more open than room, the last in order goes.
+    """
+    t, first = F.col("t"), F.col("first")
+    none = F.expr("cast(array() as array<bigint>)")
+
+    def sure(s):
+        done = _div(_product(first, s["w"]), t.cast("decimal(19,0)"))
+        return F.struct(s["idx"].alias("idx"), s["w"].alias("w"), done.alias("done"))
+
+    def event(slot, kind, key):
+        # Sorted descending, so within a slot by falling kind.
+        return F.struct(slot.alias("slot"), F.lit(kind).alias("kind"), key.cast("long").alias("key"))
+
+    def open_block(s):
+        return event(release(s["done"], s["w"], t), OPEN, _key(deadline(s["done"], s["w"], t), s["idx"]))
+
+    rows = parts.withColumn("sure", F.transform("sources", sure))
+    rows = rows.withColumn("open", F.filter(F.transform("sure", open_block), lambda o: o["slot"] < first))
+    # From the first of their releases on.
+    low = F.coalesce(F.array_min(F.transform("open", lambda o: o["slot"])), first)
+    # Written, so that nothing of it is worked out again for each event.
+    rows = materialise(rows.withColumn("low", low), "low")
+
+    def sure_blocks(s):
+        begin = released_before(F.col("low"), s["w"], t)
+        some = F.when(begin < s["done"], F.sequence(begin, s["done"] - 1)).otherwise(none)
+        return F.transform(some, lambda j: event(release(j, s["w"], t), SURE, F.lit(0)))
+
+    slots = F.when(F.col("low") < first, F.sequence("low", first - 1)).otherwise(none)
+    events = F.concat("open", F.flatten(F.transform("sure", sure_blocks)), F.transform(slots, lambda n: event(n, SLOT, F.lit(0))))
+    rows = materialise(rows.withColumn("events", F.sort_array(events, asc=False)), "past")
+
+    def step(state, e):
+        room = state["room"] + F.when(e["kind"] == SLOT, 1).when(e["kind"] == SURE, -1).otherwise(0)
+        more = F.when(e["kind"] == OPEN, F.concat(state["kept"], F.array(e["key"]))).otherwise(state["kept"])
+        kept = F.when(F.size(more) > room, F.array_remove(more, F.array_max(more))).otherwise(more)
+        return F.struct(kept.alias("kept"), room.alias("room"))
+
+    start = F.struct(none.alias("kept"), F.lit(0).alias("room"))
+    # Before the first release of an open block there is room for just the rest.
+    rest = first - F.aggregate("sure", F.lit(0).cast("long"), lambda n, s: n + s["done"])
+    kept = F.sort_array(F.aggregate("events", start, step)["kept"])
+    return rows.withColumn("begun", F.slice(kept, F.lit(1), rest.cast("int"))).drop("events", "open", "low")
+
+
+def turns(weights: DataFrame) -> DataFrame:
+    """(idx, number, turn): the slot ``turn`` of each source's block ``number``
+    in the first t slots, or in as many as the mix can have, earliest deadline
+    first. Parts of the slots are worked out independently of each other."""
+    t, first, last = F.col("t"), F.col("first"), F.col("last")
+
+    def blocks(s):
+        # From the block that is open at the first slot to the last one released.
+        end = released_before(last + 1, s["w"], t)
+        some = F.when(s["done"] < end, F.sequence(s["done"], end - 1)).otherwise(F.expr("cast(array() as array<bigint>)"))
+        return F.transform(
+            some,
+            lambda j: F.struct(
+                F.greatest(release(j, s["w"], t), first).alias("slot"),
+                F.lit(1).alias("pick"),
+                _key(deadline(j, s["w"], t), s["idx"]).alias("key"),
+            ),
+        )
+
+    rows = materialise(_begun(_parts(weights)).select("first", "last", "t", "sources", "sure", "begun"), "parts")
+    # What happens, by slot: blocks are released (1), then one is picked (2).
+    released = F.filter(F.flatten(F.transform("sure", blocks)), lambda e: ~F.array_contains("begun", e["key"]))
+    picks = F.transform(
+        F.sequence(first, last), lambda n: F.struct(n.alias("slot"), F.lit(2).alias("pick"), F.lit(0).cast("long").alias("key"))
     )
-    none = F.transform("sources", lambda s: F.lit(0))
-    no_picks = F.expr("array()").cast("array<int>")
-    start = F.struct(none.alias("used"), no_picks.alias("picks"), F.expr("array()").cast("array<array<int>>").alias("before"))
-
-    def slot(state, now):
-        def due(s, i):
-            used, t = F.get(state["used"], i), F.col("t")
-            ready = release(used, s["w"], t) <= now
-            return F.when(ready, F.struct(deadline(used, s["w"], t).alias("due"), i.alias("i")))
-
-        pick = F.array_min(F.transform("sources", due))["i"]
-        used = F.transform(state["used"], lambda u, i: u + (i == pick).cast("int"))
-        return F.struct(used.alias("used"), F.concat(state["picks"], F.array(pick)).alias("picks"), state["before"].alias("before"))
-
-    def chunk(state, first):
+    rows = rows.withColumn("events", F.sort_array(F.concat(released, picks)))
+    empty = F.expr("cast(array() as array<bigint>)")
+    start = F.struct(empty.alias("ready"), empty.alias("picks"), F.expr("cast(array() as array<array<bigint>>)").alias("before"))
+
+    def event(state, e):
+        best = F.array_min(state["ready"])
+        return F.struct(
+            F.when(e["pick"] == 2, F.array_remove(state["ready"], best)).otherwise(F.concat(state["ready"], F.array(e["key"]))).alias("ready"),
+            F.when(e["pick"] == 2, F.concat(state["picks"], F.array(best))).otherwise(state["picks"]).alias("picks"),
+            state["before"].alias("before"),
+        )
+
+    def chunk(state, k):
         def close(s):
-            return F.struct(s["used"].alias("used"), no_picks.alias("picks"), F.concat(s["before"], F.array(s["picks"])).alias("before"))
+            return F.struct(s["ready"].alias("ready"), empty.alias("picks"), F.concat(s["before"], F.array(s["picks"])).alias("before"))
 
-        return F.aggregate(F.sequence(first, F.least(first + CHUNK, F.col("slots")) - 1), state, slot, close)
+        return F.aggregate(F.slice("events", k, F.lit(CHUNK)), state, event, close)
 
-    picks = F.flatten(F.aggregate(F.sequence(F.lit(0), F.col("slots") - 1, F.lit(CHUNK)), start, chunk)["before"])
-    return one.select(F.posexplode(picks).alias("at", "idx")).groupBy("idx").agg(F.sort_array(F.collect_list("at")).alias("offsets"))
+    chosen = F.flatten(F.aggregate(F.sequence(F.lit(1), F.size("events"), F.lit(CHUNK)), start, chunk)["before"])
+    laid = rows.select("first", "t", "sources", F.posexplode(chosen).alias("n", "key"))
+    size = F.size("sources").cast("long")
+    laid = laid.withColumn("idx", F.pmod("key", size)).withColumn("due", _div(F.col("key"), size))
+    of = F.get("sources", F.col("idx").cast("int"))["w"]
+    number = _div(_product(F.col("due"), of), t.cast("decimal(19,0)")) - 1
+    return laid.select(F.col("idx").cast("int").alias("idx"), number.alias("number"), (first + F.col("n")).alias("turn"))
 
 
-def schedule(sizes: DataFrame, targets: DataFrame | None = None) -> DataFrame:
-    """From (source, n): each source's blocks b, weight w of t, the slots
-    ``offsets`` of its blocks in a period (or in the mix, if that is shorter),
-    and the number j of its blocks that the whole mix lays out."""
+def schedule(sizes: DataFrame, targets: DataFrame | None = None, epochs: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """From (source, n): the plan, each source's blocks b, weight w of t and
+    the number j of its blocks that the whole mix lays out; and the ``turns``
+    of a period (or of the mix, if that is shorter)."""
     weights = materialise(_weights(sizes, targets), "weights")
-    rows = weights.join(_first_slots(weights), "idx")
-    last = F.floor((F.col("b") - 1) / F.col("w")) * F.col("t") + F.get("offsets", F.pmod(F.col("b") - 1, F.col("w")).cast("int"))
-    rows = rows.withColumn("slots", F.max(last + 1).over(Window.partitionBy()))
-    partly = F.size(F.filter("offsets", lambda o: o < F.pmod(F.col("slots"), F.col("t"))))
-    return rows.withColumn("j", F.floor(F.col("slots") / F.col("t")) * F.col("w") + partly)
+    laid = materialise(turns(weights).withColumnRenamed("idx", "t_idx"), "turns")
+    at = laid.withColumnRenamed("number", "t_number")
+    of_last = (F.col("idx") == F.col("t_idx")) & (F.pmod(F.col("b") - 1, F.col("w")) == F.col("t_number"))
+    every = Window.partitionBy()
+    ends = F.max(_div(F.col("b") - 1, F.col("w")) * F.col("t") + F.col("turn") + 1).over(every)
+    if epochs is not None:
+        ends = F.least(ends, F.min(release(F.col("b") * epochs, F.col("w"), F.col("t"))).over(every))
+    plan = weights.join(at, of_last).withColumn("slots", ends).drop("t_idx", "t_number", "turn")
+    # Blocks in what the end leaves of a period.
+    left = plan.select(F.col("idx").alias("l_idx"), F.pmod("slots", "t").alias("rest"))
+    left = laid.join(left, F.col("t_idx") == F.col("l_idx")).where("turn < rest").groupBy("l_idx").agg(F.count("*").alias("partly"))
+    plan = plan.join(left, F.col("idx") == F.col("l_idx"), "left")
+    j = _div(F.col("slots"), F.col("t")) * F.col("w") + F.coalesce("partly", F.lit(0))
+    return plan.withColumn("j", j).select("source", "n", "b", "w", "t", "idx", "slots", "j"), at
 
 
 def _placed(docs: DataFrame, others: list[str]) -> DataFrame:
@@ -155,31 +276,34 @@ def _placed(docs: DataFrame, others: list[str]) -> DataFrame:
     return placed.drop("m_order", "m_range", "m_source", "m_of", "m_before", "m_number")
 
 
-def mix(docs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+def mix(docs: DataFrame, targets: DataFrame | None = None, epochs: int | None = None) -> DataFrame:
     """Every row of ``docs`` with its slots in the mix: columns slot, epoch,
     block (of the source), release, deadline and place (within the block), one
     row for each time that it is laid out.
 
     ``targets`` has (source, weight); default: the sources' sizes tempered.
+    A source of b blocks and weight w is laid out up to w * m / b times, where
+    m, the slots of the mix, is the largest b / w of all sources: rows grow by
+    the factor m * 16 / rows. ``epochs`` bounds that: the mix then ends before
+    the first slot in which a source could start its epoch number ``epochs``
+    (from 0), and what has had no slot by then is not in the mix.
     Null is a source like any other. Rows with equal or null doc_ids each have
     their own place. An empty table gives an empty mix. Columns of ``docs``
     come through in a struct ``row`` beside the six, so names cannot clash.
     """
     rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source")
     tie = [F.xxhash64(F.col("row")["text"])] if "text" in docs.columns else []
-    plan = schedule(docs.groupBy("source").agg(F.count("*").alias("n")), targets)
+    plan, slots = schedule(docs.groupBy("source").agg(F.count("*").alias("n")), targets, epochs)
     plan = materialise(plan.withColumnRenamed("source", "p_source"), "schedule")
-    # Slots are joined by block: the array of a source would come with each document.
-    turns = materialise(plan.select(F.col("idx").alias("t_idx"), F.posexplode("offsets").alias("t_number", "turn")), "turns")
-    plan = plan.drop("offsets")
     placed = _placed(rows, tie).join(plan, F.col("source").eqNullSafe(F.col("p_source")))
     own = F.floor(F.col("m_place") / BLOCK_DOCS)
+    placed = placed.where(own < F.col("j"))
     laid = placed.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil((F.col("j") - own) / F.col("b")) - 1)))
     number = F.col("epoch") * F.col("b") + own
-    laid = laid.join(turns, (F.col("idx") == F.col("t_idx")) & (F.pmod(number, F.col("w")) == F.col("t_number")))
+    laid = laid.join(slots, (F.col("idx") == F.col("t_idx")) & (F.pmod(number, F.col("w")) == F.col("t_number")))
     return laid.select(
         "row",
-        (_div(number, F.col("w")) * F.col("t") + F.col("turn")).cast("long").alias("slot"),
+        (_div(number, F.col("w")) * F.col("t") + F.col("turn")).alias("slot"),
         F.col("epoch").cast("long").alias("epoch"),
         number.cast("long").alias("block"),
         release(number, F.col("w"), F.col("t")).alias("release"),
@@ -188,16 +312,16 @@ def mix(docs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     )
 
 
-def mixed(docs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+def mixed(docs: DataFrame, targets: DataFrame | None = None, epochs: int | None = None) -> DataFrame:
     """The mix itself: rows of ``docs`` in the order of their slots, with the
     documents of short sources repeated."""
-    laid = mix(docs, targets).repartitionByRange("slot", "place").sortWithinPartitions("slot", "place")
+    laid = mix(docs, targets, epochs).repartitionByRange("slot", "place").sortWithinPartitions("slot", "place")
     return laid.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
-def positions(docs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+def positions(docs: DataFrame, targets: DataFrame | None = None, epochs: int | None = None) -> DataFrame:
     """(doc_id, source, slot, epoch, block, release, deadline, place)."""
-    laid = mix(docs.select("doc_id", "source"), targets)
+    laid = mix(docs.select("doc_id", "source"), targets, epochs)
     return laid.select("row.doc_id", "row.source", "slot", "epoch", "block", "release", "deadline", "place")
 
 

@@ -3,6 +3,7 @@ and repeated rows."""
 
 import collections
 import hashlib
+import heapq
 import itertools
 import random
 import re
@@ -196,6 +197,40 @@ def test_mixing_follows_given_targets(spark):
             assert max(abs(counts[k] - w * (s + 1)) for k, w in given.items()) < 1.01
 
 
+def plain_turns(ws, t):
+    """Earliest deadline first, one slot after the other: (slot, source, block)."""
+    used, ready, out = [0] * len(ws), [], []
+    waiting = [(0, i) for i in range(len(ws))]
+    for now in range(t):
+        while waiting and waiting[0][0] <= now:
+            i = heapq.heappop(waiting)[1]
+            heapq.heappush(ready, (-(-(used[i] + 1) * t // ws[i]), i))
+        i = heapq.heappop(ready)[1]
+        out.append((now, i, used[i]))
+        used[i] += 1
+        heapq.heappush(waiting, (used[i] * t // ws[i], i))
+    return out
+
+
+@pytest.mark.parametrize("ws", [[500], [583, 285, 132], [330, 330, 335, 5], [100] * 9 + [99, 1], list(range(90, 150))])
+def test_mixing_in_parts_equals_one_slot_after_the_other(spark, monkeypatch, ws):
+    monkeypatch.setattr(mixing, "PART", 1)
+    rows = [(f"s{i}", 16 * 10**6, 10**6, w, sum(ws), i) for i, w in enumerate(ws)]
+    weights = spark.createDataFrame(rows, "source string, n long, b long, w long, t long, idx int")
+    assert len(ws) == 1 or mixing._parts(weights).count() > 1 or 1 in ws
+    assert sorted((r.turn, r.idx, r.number) for r in mixing.turns(weights).collect()) == plain_turns(ws, sum(ws))
+
+
+def test_mixing_ends_with_the_most_epochs(spark):
+    docs = spark.createDataFrame([(k, None, None, "s" if k < 32 else "big") for k in range(800)], DOCS)
+    targets = spark.createDataFrame([("s", 0.5), ("big", 0.5)], "source string, weight double")
+    whole, short = (mixing.positions(docs, targets, e).collect() for e in (None, 3))
+    assert max(r.epoch for r in whole) > 10 and {r.doc_id for r in whole} == set(range(800))
+    end = max(r.slot for r in short)
+    assert max(r.epoch for r in short) == 2 and sorted(short) == sorted(r for r in whole if r.slot <= end)
+    assert mixing.positions(docs.limit(0), targets, 3).collect() == []
+
+
 def test_chat_reads_back_what_was_said(spark):
     rows = [(1, 0, "system", "be <|end|> kind"), (1, 1, "user", "x" * 900), (1, 2, "assistant", r"<\|turn|> [INST]" * 40)]
     rows += [(1, k, "user" if k % 2 else "assistant", f"turn {k} " * 30) for k in range(3, 20)]
