@@ -1,13 +1,18 @@
 """Chat formatting in budgeted windows (operator 10).
 
-A conversation is cut at turns into windows of ``BUDGET`` tokens at most. The
-cuts come from prefix sums of the turns' tokens: with a step of the budget less
-the system turn and the history, a turn whose tokens lie within one step
-belongs to that step's window, and a turn that crosses into another step is a
-window of its own. (So a window is within the budget unless it is one turn that
-is larger than a step by itself; turns are never cut.) Each further window
-repeats the system turn and the turns before it that lie within ``HISTORY``
-tokens; what is repeated is masked, so every assistant text is a target once.
+A conversation is cut at turns into windows of ``BUDGET`` tokens at most. A
+turn counts as many tokens as its formatted text has UTF-8 bytes, which no
+byte-level vocabulary exceeds, in any script. The cuts come from prefix sums of
+the turns' tokens: with a step of the budget less the system turn and the
+history, a turn whose tokens lie within one step belongs to that step's window,
+and a turn that crosses into another step is a window of its own. Each further
+window repeats the system turn and the turns before it that lie within
+``HISTORY`` tokens; what is repeated is masked, so every assistant text is a
+target once.
+
+History gives way to the system turn (it takes half of what that leaves at
+most) and to a long turn. So a window is within the budget unless the system
+turn and one other turn exceed it by themselves; turns are never cut.
 
 Output rows: conv_id, window, formatted, and loss as (start, length) pairs of
 code points. DataFrame functions only.
@@ -24,12 +29,8 @@ from pyspark.sql import functions as F
 
 from logsift.llm.common import materialise, text_of
 
-BUDGET = 1024
-HISTORY = 256
-#: Least step, for system turns that leave less room than that.
-LEAST_STEP = 64
-#: Estimated tokens of a turn: its characters by this, and its marks.
-CHARS_A_TOKEN, MARKS = 4, 4
+BUDGET = 4096
+HISTORY = 1024
 STRETCH = 64
 
 TURN, AGAIN, TEXT, END = "<|turn|>", "<|again|>", "<|text|>", "<|end|>"
@@ -49,13 +50,14 @@ def unescape(text: Column) -> Column:
 
 def _turns(conversations: DataFrame) -> DataFrame:
     """Turns with their number, tokens and the tokens before them."""
-    length = F.length(text_of()) + F.length(F.coalesce("role", F.lit("")))
+    marks = max(len(TURN), len(AGAIN)) + len(TEXT) + len(END)
+    size = F.octet_length(escape(text_of())) + F.octet_length(escape(F.coalesce("role", F.lit(""))))
     t = conversations.select(
         "conv_id",
         "turn",
         F.coalesce("role", F.lit("")).alias("role"),
         text_of().alias("text"),
-        (F.ceil(length / CHARS_A_TOKEN) + MARKS).alias("cost"),
+        (size + marks).cast("long").alias("cost"),
         F.floor(F.col("turn") / STRETCH).alias("stretch"),
     )
     sums = t.groupBy("conv_id", "stretch").agg(F.sum("cost").alias("cost"), F.count("*").alias("count"))
@@ -96,15 +98,23 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     lead = F.coalesce("s_cost", F.lit(0))
     t = t.withColumn("start", F.greatest(F.col("start") - lead, F.lit(0)))
     t = t.withColumn("is_system", F.col("s_cost").isNotNull() & (F.col("nr") == 0))
-    step = F.greatest(budget - history - lead, F.lit(LEAST_STEP))
+    room = F.greatest(budget - lead, F.lit(0).cast("long"))
+    repeat = F.least(F.lit(history).cast("long"), F.floor(room / 2))
+    step = F.greatest(room - repeat, F.lit(1).cast("long"))
+    t = t.withColumn("room", room).withColumn("repeat", repeat)
     t = t.withColumn("cell", F.when(F.col("is_system"), 0).otherwise(F.floor(F.col("start") / step)))
     crosses = ~F.col("is_system") & (F.floor((F.col("start") + F.col("cost") - 1) / step) > F.col("cell"))
     t = materialise(t.withColumn("window", F.col("cell") * 2 + crosses.cast("int")), "placed")
 
     member = lambda again, nr: F.struct(F.col(nr).alias("nr"), F.lit(again).alias("again"), "role", "text").alias("m")
     own = t.select("conv_id", "window", member(False, "nr"))
+    said = F.sum(F.when(F.col("is_system"), 0).otherwise(F.col("cost")))
+    left = F.greatest(F.max("room") - said, F.lit(0).cast("long"))
     heads = t.groupBy("conv_id", "window").agg(
-        F.min("start").alias("head"), F.max("is_system").alias("has_system"), F.max("s_text").alias("s_text")
+        F.min("start").alias("head"),
+        F.max("is_system").alias("has_system"),
+        F.max("s_text").alias("s_text"),
+        F.least(F.max("repeat"), left).alias("repeat"),
     )
     heads = materialise(heads, "heads")
     led = heads.where("s_text is not null and not has_system").select(
@@ -118,11 +128,11 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     # its last ``history`` tokens before its head lie in.
     at = F.floor(F.col("head") / history)
     looks = heads.where("head > 0").select(
-        F.col("conv_id").alias("h_conv"), F.col("window").alias("h_window"), "head", F.explode(F.array(at - 1, at)).alias("h_part")
+        F.col("conv_id").alias("h_conv"), F.col("window").alias("h_window"), "head", F.col("repeat").alias("h_repeat"), F.explode(F.array(at - 1, at)).alias("h_part")
     )
     past = t.where("not is_system").withColumn("part", F.floor(F.col("start") / history))
     past = past.join(looks, same("conv_id", "h_conv") & (F.col("part") == F.col("h_part")))
-    past = past.where((F.col("start") >= F.col("head") - history) & (F.col("start") + F.col("cost") <= F.col("head")))
+    past = past.where((F.col("start") >= F.col("head") - F.col("h_repeat")) & (F.col("start") + F.col("cost") <= F.col("head")))
     past = past.select("conv_id", F.col("h_window").alias("window"), member(True, "nr"))
     grouped = own.unionByName(led).unionByName(past).groupBy("conv_id", "window").agg(F.sort_array(F.collect_list("m")).alias("turns"))
 

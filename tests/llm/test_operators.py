@@ -248,6 +248,26 @@ def test_chat_reads_back_what_was_said(spark):
     assert len(out) > 3 and all(w.formatted.startswith(chat.TURN if w.window == 0 else chat.AGAIN + "system") for w in out)
 
 
+@pytest.mark.parametrize("lead", [0, 100, 500, 900])
+def test_chat_windows_keep_the_budget_in_any_script(spark, lead):
+    rnd = random.Random(lead)
+    words = ["机器学习", "hello", "<|end|>", "[INST]", "привет", "🙂", "x"]
+    rows = [(c, 0, "system", "s" * lead) for c in range(6) if lead]
+    for c in range(6):
+        rows += [(c, k, "user" if k % 2 else "assistant", " ".join(rnd.choices(words, k=rnd.randint(0, 20)))) for k in range(1, 40)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    budget, repeated = 700, 0
+    for w in chat.windows(frame, budget=budget, history=200).collect():
+        parts = w.formatted.split(chat.END)[:-1]
+        system = [p for p in parts if p.split(chat.TEXT)[0].endswith("system")]
+        own = [p for p in parts if p.startswith(chat.TURN) and p not in system]
+        assert len(system) == (lead > 0)
+        if len(w.formatted.encode()) > budget:
+            assert len(own) == 1 and len(parts) == 1 + len(system)  # one turn, nothing repeated but the system turn
+        repeated += len(parts) - len(own) - len(system)
+    assert (repeated > 0) == (lead < 600)
+
+
 def test_embeddings(spark):
     rnd = np.random.default_rng(5)
     base = rnd.normal(size=(40, 16))
