@@ -263,7 +263,7 @@ def test_chat_windows_keep_the_budget_in_any_script(spark, lead):
         own = [p for p in parts if p.startswith(chat.TURN) and p not in system]
         assert len(system) == (lead > 0)
         if len(w.formatted.encode()) > budget:
-            assert len(own) == 1 and len(parts) == 1 + len(system)  # one turn, nothing repeated but the system turn
+            assert len(own) <= 1 and len(parts) == len(own) + len(system)  # at most one turn beside the system turn
         repeated += len(parts) - len(own) - len(system)
     assert (repeated > 0) == (lead < 600)
 
