@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from logsift.operators import lookup, payload, stats, store, views
 from logsift.plans import micro_batch
+from logsift.sources import fixtures
 
 
 def test_decode_events(spark):
@@ -50,6 +51,13 @@ def test_bulk_lookup_golden(spark):
         )
 
 
+def test_every_log_is_requested(spark):
+    events = spark.createDataFrame([(e,) for e in range(1, 61)], "event_id bigint")
+    got = sorted(r.log_id for r in fixtures.lookup_requests(events).collect())
+    known = [f"log_{e:010d}" for e in [*range(1, 61), 20, 40, 60]]
+    assert got == sorted([*known, "log_missing_50"])
+
+
 def test_process_ids_dedups_and_quarantines(spark):
     req = spark.createDataFrame([("a",), ("a",), ("b",), ("zz",)], "log_id string")
     st = spark.createDataFrame([("a", "x [ERROR] y\nz [ERROR]"), ("b", None)], "log_id string, content string")
