@@ -11,9 +11,11 @@ entries sharing an id, and one log id appearing twice in the input. The
 first is removed exactly at compile time (entries with one id are OR-ed into
 one predicate). The second cannot happen for a store keyed by ``log_id``
 (the store's primary key; ``upsert_logs`` keeps it) and is removed on the
-small id side by the lookup. So the full-row distinct, a shuffle of every
-match row, is only planned when the caller asks for it
-(``distinct_rows=True``) because its input may repeat a log.
+small id side by the lookup. So a distinct is only planned when the caller asks
+for it (``distinct_rows=True``) because its input may repeat a log. It is taken of
+the cleaned lines, before they are matched: the ids that match a line follow from
+its text, so equal lines are what makes equal match rows. There are as many
+partitions as the text needs, so what a task holds does not grow with the input.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 from ..functions import match as M
 from ..sources.patterns import Pattern, catalogue, check_java
 from .lines import clean_lines
+from .partitioning import parts_for
 
 
 def _patterns(df: DataFrame, patterns) -> list[Pattern]:
@@ -67,13 +70,17 @@ def match_lines(
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Contents to match rows: split, clean, match."""
-    return match_cleaned_lines(
-        clean_lines(contents, id_col, content_col, carry),
-        patterns,
-        id_col=id_col,
-        distinct_rows=distinct_rows,
-        carry=carry,
-    )
+    lines = clean_lines(contents, id_col, content_col, carry)
+    if distinct_rows and not contents.isStreaming:
+        lines = distinct_lines(lines, parts_for(contents, F.col(content_col)), id_col, carry)
+        distinct_rows = False
+    return match_cleaned_lines(lines, patterns, id_col=id_col, distinct_rows=distinct_rows, carry=carry)
+
+
+def distinct_lines(lines: DataFrame, parts: int, id_col: str = "log_id", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Each cleaned line of a log once, in ``parts`` partitions."""
+    columns = [id_col, "line_number", "cleaned_line", *carry]
+    return lines.select(*columns).repartition(parts, *columns).distinct()
 
 
 def match_summary(lines_with_matches: DataFrame, id_col: str = "log_id") -> DataFrame:

@@ -10,7 +10,13 @@ is added at scale. Applied where tables are read (``sources.tables``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+#: Bytes of text that one task is to hold when it makes rows distinct.
+PART_BYTES = 32 << 20
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -26,3 +32,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if current >= target:
         return df
     return df.repartition(target)
+
+
+def parts_for(df: DataFrame, text: Column, part_bytes: int = PART_BYTES) -> int:
+    """Partitions for work that holds the rows of its task: by the bytes of ``text``
+    (one pass, a sum from each task), so a task's share does not grow with the
+    input."""
+    session = df.sparkSession
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return max(math.ceil(size / part_bytes), int(session.conf.get("spark.sql.shuffle.partitions")))

@@ -147,3 +147,17 @@ def test_no_heavy_key_is_left_out(spark):
 
     df = spark.range(4500).select((F.col("id") % 1500).alias("k"))
     assert len(skew.hot_keys(df, "k", hot_key_rows=2)) == 1500
+
+
+def test_distinct_lines_have_as_many_partitions_as_their_text_needs(spark, monkeypatch):
+    from logsift.operators import matching, partitioning
+
+    rows = [("a", "x [ERROR] y\nx [ERROR] y"), ("a", "x [ERROR] y\nz [INFO]"), ("a", "x [ERROR] y"), (None, "[INFO]"), (None, "[INFO]"), ("b", None)]
+    logs = spark.createDataFrame(rows, "log_id string, content string")
+    want = sorted(map(repr, matching.match_cleaned_lines(matching.clean_lines(logs), distinct_rows=True).collect()))
+    monkeypatch.setattr(partitioning.parts_for, "__defaults__", (2,))
+    found = matching.match_lines(logs, distinct_rows=True)
+    assert sorted(map(repr, found.collect())) == want and len(want) == len(set(want))
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+    size = sum(len(text) for _, text in rows if text)
+    assert partitioning.parts_for(logs, F.col("content")) == size / 2 > 8
