@@ -3,6 +3,7 @@ rejects; capture-group fields and large catalogues."""
 
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -220,6 +221,19 @@ def test_indexed_catalogue_equals_the_unrolled_one(spark):
     assert [r[0] for r in M.id_predicates("x", catalogue)] == list(dict.fromkeys(p.regex_id for p in catalogue))
 
 
+def test_only_keys_of_the_index_leave_a_line(spark):
+    keys = ["", "abc", "abcd", "bcdef", "abcdef", "éé1", "efg"]
+    texts = ["xabcdefg", "", None, "ab", "cab", "abc" * 400_000, "ef", "gabc", "ééé1"] * 3
+    find = catalogue_index.KeyFinder(keys)
+    got = find(pa.array(["no", *texts]).slice(1)).to_pylist()
+    assert got == [sorted(k for k in keys if t is not None and k in t) for t in texts]
+    assert catalogue_index.KeyFinder([])(pa.array(["abc", None])).to_pylist() == [[], []]
+    frame = spark.createDataFrame([(1, 1, "some words of a line")], "log_id int, line_number int, cleaned_line string")
+    index = catalogue_index.index_frame(spark, P.catalogue([("A", "words"), ("B", "elsewhere")]))
+    plan = catalogue_index.match_indexed(frame, index)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan
+
+
 def test_batch_mode_stores_and_flags_pending_logs(spark, stores):
     stores.match_pending()
     assert state(stores) == (A + B, ["a", "b", "d"])
