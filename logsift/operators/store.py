@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.patterns import MAX_REGEX_ID_LENGTH
-from .joins import MAX_BROADCAST_KEYS, key_set, semi_join_keys
+from .joins import MAX_BROADCAST_KEYS, at_most, key_set, semi_join_keys
 from .skew import HOT_KEY_ROWS, hot_keys, salted_join
 
 MAX_LOG_ID_LENGTH = 255
@@ -54,9 +54,10 @@ def results_rows(matches: DataFrame) -> DataFrame:
 def check_results(results: DataFrame, logs: DataFrame, hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
     """Result rows with ``reject_reason`` (null when the row satisfies every
     constraint of the result store: not-null columns, id lengths, and the
-    foreign key to ``logs``). One shuffle join on ``log_id`` against the
-    distinct log ids; a log id holding very many result rows (copies of its
-    results) is salted across tasks."""
+    foreign key to ``logs``). The distinct ids of the results are joined to those of
+    the logs; the ids that no log has are broadcast to the results where they are
+    few, so the results are not shuffled. Else the results are joined on ``log_id``,
+    and a log id holding very many of them is salted across tasks."""
     reason = (
         F.when(F.col("log_id").isNull(), F.lit(REASON_NULL_LOG_ID))
         .when(F.col("regex_id").isNull(), F.lit(REASON_NULL_REGEX_ID))
@@ -67,6 +68,14 @@ def check_results(results: DataFrame, logs: DataFrame, hot_key_rows: int | None
     )
     known = logs.select("log_id").distinct().withColumn("_known", F.lit(True))
     checked = results.withColumn("reject_reason", reason)
+    asked = results.select("log_id").filter(F.col("log_id").isNotNull()).distinct()
+    unknown = asked.join(known, "log_id", "left_anti").withColumn("_unknown", F.lit(True))
+    if not results.isStreaming and at_most(unknown, MAX_BROADCAST_KEYS):
+        return (
+            checked.join(F.broadcast(unknown), "log_id", "left")
+            .withColumn("reject_reason", F.coalesce("reject_reason", F.when(F.col("_unknown"), F.lit(REASON_UNKNOWN_LOG))))
+            .drop("_unknown")
+        )
     hot = hot_keys(checked, "log_id", hot_key_rows)
     return (
         salted_join(checked, known, "log_id", "left", RESULT_SALT_COLS, hot)
@@ -175,10 +184,9 @@ def upsert_logs(
         touched.unionByName(w)
         .groupBy("log_id")
         .agg(
-            F.min_by("source", "_order").alias("source"),
-            F.min_by("timestamp", "_order").alias("timestamp"),
+            F.min_by(F.struct("source", "timestamp", "processed"), "_order").alias("first"),
             F.max_by("content", "_order").alias("content"),
-            F.min_by("processed", "_order").alias("processed"),
         )
+        .select("log_id", "first.source", "first.timestamp", "content", "first.processed")
     )
     return untouched.select(*merged.columns).unionByName(merged)

@@ -24,18 +24,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import store as S
+from ..operators.joins import MAX_BROADCAST_KEYS
 from ..session import scratch_path
 from ..sources.stores import (
     BUCKET_COL,
     DEFAULT_BUCKETS,
     StoreTable,
     append_bucketed,
+    bucket_groups,
     buckets_of,
     drop_path,
+    in_buckets,
     path_exists,
     rewrite_buckets,
+    swap_buckets,
     write_bucketed,
     write_version,
+    write_within_buckets,
 )
 from ..sources.tables import LOGS_SCHEMA, RESULTS_SCHEMA
 
@@ -73,10 +78,6 @@ class LogStores:
         t = write_version(df, os.path.join(self.base, "logs"), self.logs.bucket_count, LOGS_SCHEMA)
         return LogStores(self.base, t, self.results)
 
-    def _next_results(self, df: DataFrame) -> "LogStores":
-        t = write_version(df, os.path.join(self.base, "results"), self.results.bucket_count, RESULTS_SCHEMA)
-        return LogStores(self.base, self.logs, t)
-
 
 def _cols(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(",")]
@@ -108,8 +109,11 @@ def post_results(spark: SparkSession, stores: LogStores, batch: DataFrame) -> tu
     as in the reference) and their logs are flagged processed (only their
     buckets are rewritten). The rejected rows, with a reason, are written to
     a quarantine table and returned."""
-    logs = stores.read_logs(spark)
-    checked = S.check_results(batch, logs)
+    # The batch is worked out once; all that follows reads it from files.
+    taken = scratch_path(spark, "staging", "results")
+    batch.select(*_cols(RESULTS_SCHEMA)).write.parquet(taken)
+    batch = spark.read.schema(RESULTS_SCHEMA).parquet(taken)
+    checked = S.check_results(batch, stores.read_logs(spark))
     accepted = checked.filter("reject_reason IS NULL").drop("reject_reason")
     rejected = checked.filter("reject_reason IS NOT NULL")
     buckets = buckets_of(accepted.select("log_id"), stores.logs.bucket_count)
@@ -120,25 +124,36 @@ def post_results(spark: SparkSession, stores: LogStores, batch: DataFrame) -> tu
     rejected.write.parquet(quarantine)
     rejected = spark.read.schema(f"{RESULTS_SCHEMA}, reject_reason string").parquet(quarantine)
     # Flag the logs of this batch: only their buckets are rewritten.
-    rewrite_buckets(
-        spark,
-        stores.logs,
-        buckets,
-        lambda current: S.mark_processed(current, stores.results.read_buckets(spark, buckets).drop("bucket")).select(
-            *_cols(LOGS_SCHEMA)
-        ),
-        scratch_path(spark, "staging", "logs"),
-    )
+    flag_logs(spark, stores, buckets)
     count_buckets(spark, stores, buckets, named)
     return stores, rejected
 
 
+def flag_logs(spark: SparkSession, stores: LogStores, buckets: list[int]) -> None:
+    """Flag the logs of ``buckets`` that have results, some buckets at a time: as many
+    as have ids that may be broadcast, so no content is shuffled."""
+    count = stores.logs.bucket_count
+    staged = StoreTable(scratch_path(spark, "staging", "logs"), count)
+    hits = stores.results.read_buckets(spark, buckets).select("log_id")
+    for group in bucket_groups(hits, count, MAX_BROADCAST_KEYS):
+        current = stores.logs.read_buckets(spark, group)
+        of = stores.results.read_buckets(spark, group)
+        write_within_buckets(S.mark_processed(current, of, MAX_BROADCAST_KEYS), staged.path)
+    swap_buckets(spark, stores.logs, staged)
+
+
 def delete_logs(spark: SparkSession, stores: LogStores, ids: DataFrame) -> LogStores:
     """Delete logs by id; their results go with them."""
     buckets = buckets_of(ids.filter("log_id IS NOT NULL"), stores.logs.bucket_count)
     named = name_buckets(spark, stores, buckets)
-    logs, results = S.cascade_delete(stores.read_logs(spark), stores.read_results(spark), ids)
-    stores = stores._next_logs(logs)._next_results(results)
+    count = stores.logs.bucket_count
+    fresh = [os.path.join(stores.base, name, f"v-{uuid.uuid4().hex}") for name in ("logs", "results")]
+    # Rows stay in their buckets, and only the ids of some buckets at a time are needed.
+    for group in bucket_groups(ids, count, MAX_BROADCAST_KEYS, every=True):
+        olds = [t.read_buckets(spark, group) for t in (stores.logs, stores.results)]
+        for rows, path in zip(S.cascade_delete(*olds, in_buckets(ids, count, group)), fresh, strict=True):
+            write_within_buckets(rows, path)
+    stores = LogStores(stores.base, StoreTable(fresh[0], count), StoreTable(fresh[1], stores.results.bucket_count, RESULTS_SCHEMA))
     count_buckets(spark, stores, buckets, named)
     return stores
 

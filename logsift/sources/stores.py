@@ -145,19 +145,65 @@ def buckets_of(ids: DataFrame, bucket_count: int) -> list[int]:
     return [r[0] for r in ids.select(bucket_of("log_id", bucket_count).alias("b")).distinct().collect()]
 
 
+def bucket_groups(ids: DataFrame, bucket_count: int, most: int, every: bool = False) -> list[list[int]]:
+    """The buckets of ``ids`` (or ``every`` bucket) in groups that hold at most
+    ``most`` distinct ids each, or one bucket. So the ids of a group may be broadcast
+    where those of the table may not, and its rows need no shuffle."""
+    of = ids.filter(F.col("log_id").isNotNull()).groupBy(bucket_of("log_id", bucket_count).alias("b"))
+    sizes = {r.b: r.n for r in of.agg(F.count_distinct("log_id").alias("n")).collect()}
+    groups: list[list[int]] = []
+    room = -1
+    for b in range(bucket_count) if every else sorted(sizes):
+        n = sizes.get(b, 0)
+        if n > room:
+            groups.append([])
+            room = most
+        groups[-1].append(b)
+        room -= n
+    return groups
+
+
+def in_buckets(rows: DataFrame, bucket_count: int, buckets: list[int]) -> DataFrame:
+    """The rows whose log ids fall in ``buckets``."""
+    return rows.filter(bucket_of("log_id", bucket_count).isin(buckets))
+
+
+def write_within_buckets(rows: DataFrame, path: str) -> None:
+    """Add rows that carry the bucket they were read with. A scan task has files of few
+    buckets, so they are written from where they are."""
+    _writer(rows.sortWithinPartitions(BUCKET_COL, "log_id")).mode("append").partitionBy(BUCKET_COL).parquet(path)
+
+
 def rewrite_buckets(spark: SparkSession, table: StoreTable, buckets: list[int], transform, staging: str) -> None:
     """Rewrite only ``buckets`` of ``table``: read them, apply ``transform``
     (rows without the bucket column in, rows out), stage the result under
-    ``staging`` and replace exactly those bucket directories (dynamic
-    partition overwrite). The cost grows with the touched buckets, not with
-    the table. For transforms that never drop a bucket's last row (upsert,
-    processed flags); a delete writes a new version instead. A failure
-    before the final step leaves the table as it was; the final step is
-    idempotent, so a retry completes it."""
+    ``staging`` and replace exactly those bucket directories. The cost grows with
+    the touched buckets, not with the table. For transforms that never drop a
+    bucket's last row (upsert, processed flags); a delete writes a new version
+    instead."""
     current = table.read_buckets(spark, buckets).drop(BUCKET_COL)
-    staged = write_bucketed(transform(current), staging, table.bucket_count, schema=table.schema)
-    swap = _writer(staged.read(spark)).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    swap.partitionBy(BUCKET_COL).parquet(table.path)
+    swap_buckets(spark, table, write_bucketed(transform(current), staging, table.bucket_count, schema=table.schema))
+
+
+def swap_buckets(spark: SparkSession, table: StoreTable, staged: StoreTable) -> None:
+    """Replace the buckets of ``table`` that ``staged`` holds. Their folders are moved
+    into their place; only where the stores are on different file systems they are
+    copied. A failure before this step leaves the table as it was."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    root, new = of(table.path), of(staged.path)
+    fs = root.getFileSystem(conf)
+    if not fs.getUri().equals(new.getFileSystem(conf).getUri()):
+        swap = _writer(staged.read(spark)).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        swap.partitionBy(BUCKET_COL).parquet(table.path)
+        return
+    fs.mkdirs(root)
+    for b in staged._existing_buckets(spark, list(range(table.bucket_count))):
+        name = f"{BUCKET_COL}={b}"
+        old = of(root, name)
+        fs.delete(old, True)
+        if not fs.rename(of(new, name), old):
+            raise OSError(f"{staged.path}/{name} could not be moved to {table.path}")
 
 
 def prune_to_buckets(store, ids: DataFrame, bucket_count: int) -> DataFrame:

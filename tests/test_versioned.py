@@ -284,6 +284,33 @@ def test_statistics_from_partial_counts(spark, tmp_path, monkeypatch):
     assert all("/stats/counts/" in f for f in plan.inputFiles())
 
 
+def test_stores_are_rewritten_some_buckets_at_a_time(spark, tmp_path, monkeypatch):
+    from logsift.plans import maintenance as m
+    from logsift.sources import stores as st
+
+    rows = [(f"l{k}", f"[ERROR] {k}" if k % 3 else "[INFO] x", False) for k in range(40)] + [("l1", "[INFO] again", False)]
+    results = store.results_rows(matching.match_lines(logs(spark, rows[:30])))
+    staging = []
+    monkeypatch.setattr(m, "scratch_path", lambda _, *parts: staging.append(str(tmp_path / "staging" / str(len(staging)))) or staging[-1])
+    monkeypatch.setattr(m, "MAX_BROADCAST_KEYS", 7)
+    many = m.LogStores.create(str(tmp_path / "s"), logs(spark, rows), results.limit(0), bucket_count=8)
+    hits = results.select("log_id").unionByName(spark.createDataFrame([(None,)], "log_id string"))
+    groups = st.bucket_groups(hits, 8, 7)
+    assert len(groups) > 2 and sorted(sum(groups, [])) == sorted(st.buckets_of(results, 8))
+    more = [("l1", "s", None, "new", 1), ("l99", "s", None, "[ERROR] new", 2)]
+    many = m.post_logs(spark, many, spark.createDataFrame(more, "log_id string, source string, timestamp timestamp_ntz, content string, seq long"))
+    many, _ = m.post_results(spark, many, results)
+    # What was staged has been moved to its place, not copied.
+    assert staging and not [d for d in (tmp_path / "staging").glob("*/bucket=*")]
+    flagged = {r.log_id for r in many.read_logs(spark).collect() if r.processed}
+    assert flagged == {f"l{k}" for k in range(30)}
+    many = m.delete_logs(spark, many, spark.createDataFrame([("l2",), ("l39",), (None,)], "log_id string"))
+    kept = {f"l{k}" for k in [*range(40), 99]} - {"l2", "l39"}
+    assert {r.log_id for r in many.read_logs(spark).collect()} == kept
+    assert many.read_results(spark).count() == results.where("log_id <> 'l2'").count()
+    assert m.stored_stats(spark, many).first() == stats.stats_json(many.read_logs(spark), many.read_results(spark)).first()
+
+
 def test_few_ids_read_few_row_groups(spark, tmp_path, monkeypatch):
     from logsift.sources import stores as st
 
