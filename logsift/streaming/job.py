@@ -35,7 +35,7 @@ from ..operators.payload import kafka_payload
 from ..plans.micro_batch import process_ids
 from ..plans.versioned import STORED_RESULTS_SCHEMA, VersionedStores, stamped
 from ..session import scratch_path
-from ..sources.stores import BUCKET_COL, StoreTable, bucket_profile, path_exists
+from ..sources.stores import BUCKET_COL, StoreTable, buckets_of, path_exists
 
 log = logging.getLogger(__name__)
 
@@ -192,7 +192,7 @@ class StoreBatchWriter:
             if not n.events:
                 return
             # Only the buckets of the batch's ids are read, less what is deleted.
-            buckets, _ = bucket_profile(ids, stores.bucket_count)
+            buckets = buckets_of(ids, stores.bucket_count)
             version = stores.current()
             logs = stores.logs_table(version).read_buckets(spark, buckets).drop(BUCKET_COL)
             logs = stores.without_deleted(logs, version)
