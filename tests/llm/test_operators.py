@@ -11,6 +11,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import xxhash
 from tokenizers import Tokenizer
@@ -79,6 +80,38 @@ def test_repeats(spark, monkeypatch, length):
     assert repeats.digests(frame.limit(0), length).collect() == []
 
 
+def test_parts_are_sorted_from_rows(spark, monkeypatch):
+    """Members reach a task as rows, not as one list a part; a part is never split
+    over what is sorted together."""
+    size = repeats.Sizes(64)
+    rng = random.Random(5)
+    members, expected = [], set()
+    for g in range(30):
+        shared = rng.randbytes(70)
+        part = [rng.randbytes(3) + shared + rng.randbytes(k % 4) for k in range(rng.randint(2, 12))]
+        seen = collections.Counter(d[s : s + 64] for d in part for s in range(len(d) - 63))
+        for f, d in enumerate(part):
+            members.append((g, f, d, 12, len(d) - 63))
+            expected |= {(g, f, s) for s in range(len(d) - 63) if seen[d[s : s + 64]] > 1}
+    rng.shuffle(members)
+    frame = spark.createDataFrame(members, repeats.MEMBER)
+    for part in (512, 1):  # 1: few members are sorted together
+        monkeypatch.setattr(repeats, "PART", part)
+        out = repeats._sort_parts(frame, size)
+        got = [(r.g, r.f, s) for r in out.collect() for s in range(r.lo, r.hi + 1)]
+        assert len(got) == len(set(got)) and set(got) == expected
+    assert "collect_list" not in out._jdf.queryExecution().toString()
+
+
+def test_batches_become_objects_in_pieces():
+    texts = ["x" * k for k in (3 << 20, 10, 0, 2 << 20, 5)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(5))], names=["text", "k"])
+    pieces = list(repeats._pieces([batch, batch.slice(0, 0)]))
+    assert len(pieces) > 1 and pa.Table.from_batches(pieces).to_pylist() == batch.to_pylist()
+    small = batch.slice(1, 2)
+    assert [p.num_rows for p in repeats._pieces([small])] == [2]
+
+
 def test_simhash(spark):
     docs = documents()
 
