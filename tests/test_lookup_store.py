@@ -2,12 +2,15 @@
 
 import datetime as dt
 
+import duckdb
 from pyspark.sql import functions as F
 
 from logsift.operators import lookup, payload, stats, store, views
 from logsift.plans import micro_batch
 from logsift.sources import fixtures
 
+from .oracle_compare import compare
+
 
 def test_decode_events(spark):
     values = [
@@ -58,6 +61,27 @@ def test_every_log_is_requested(spark):
     assert got == sorted([*known, "log_missing_50"])
 
 
+def _sixty_logs(spark, path):
+    """A folder with 60 events, so 60 logs, each of which is asked for."""
+    rows = [(e, dt.datetime(2024, 1, 1, 0, 0, e), e % 7, "error" if e % 2 else "click", 1.0, "{}") for e in range(60)]
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{path}/events.parquet")
+    return str(path)
+
+
+def _events_duck(path):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{path}/events.parquet/*.parquet')")
+    return con
+
+
+def test_bulk_lookup_asks_for_every_log(spark, tmp_path):
+    path = _sixty_logs(spark, tmp_path)
+    r = compare(spark, "bulk_lookup", path, _events_duck(path))
+    # Every log, three of them twice, and two unknown ids.
+    assert r["ok"] and r["rows"] == 60 + 3 + 2, r
+
+
 def test_process_ids_dedups_and_quarantines(spark):
     req = spark.createDataFrame([("a",), ("a",), ("b",), ("zz",)], "log_id string")
     st = spark.createDataFrame([("a", "x [ERROR] y\nz [ERROR]"), ("b", None)], "log_id string, content string")
