@@ -6,7 +6,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from logsift.operators import lookup, payload, stats, store, views
-from logsift.plans import micro_batch
+from logsift.plans import micro_batch, registry
 from logsift.sources import fixtures
 
 from .oracle_compare import compare
@@ -82,6 +82,12 @@ def test_bulk_lookup_asks_for_every_log(spark, tmp_path):
     assert r["ok"] and r["rows"] == 60 + 3 + 2, r
 
 
+def test_get_log_matches_of_every_log(spark, tmp_path):
+    path = _sixty_logs(spark, tmp_path)
+    r = compare(spark, "get_log_matches", path, _events_duck(path))
+    assert r["ok"] and r["rows"] == registry.q_results_rows(spark, path).count() > 0, r
+
+
 def test_process_ids_dedups_and_quarantines(spark):
     req = spark.createDataFrame([("a",), ("a",), ("b",), ("zz",)], "log_id string")
     st = spark.createDataFrame([("a", "x [ERROR] y\nz [ERROR]"), ("b", None)], "log_id string, content string")
