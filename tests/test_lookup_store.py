@@ -94,6 +94,12 @@ def test_log_by_id_of_every_log(spark, tmp_path):
     assert r["ok"] and r["rows"] == 60, r
 
 
+def test_results_for_log_of_every_log(spark, tmp_path):
+    path = _sixty_logs(spark, tmp_path)
+    r = compare(spark, "results_for_log", path, _events_duck(path))
+    assert r["ok"] and r["rows"] == registry.q_results_rows(spark, path).count() > 0, r
+
+
 def test_process_ids_dedups_and_quarantines(spark):
     req = spark.createDataFrame([("a",), ("a",), ("b",), ("zz",)], "log_id string")
     st = spark.createDataFrame([("a", "x [ERROR] y\nz [ERROR]"), ("b", None)], "log_id string, content string")
